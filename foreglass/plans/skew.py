@@ -34,3 +34,17 @@ def salted(df: DataFrame, key: str, spread: list[str], hot: DataFrame, salt: str
         .withColumn(salt, F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("salts"))).cast("int"))
         .drop("__hot_key", "salts")
     )
+
+
+def skewed_left_join(left: DataFrame, right: DataFrame, key: str, spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join on ``key`` where a key of ``left`` may hold a great part of its rows.
+
+    Rows of hot keys are salted by ``spread``; the rows of ``right`` with such a
+    key are repeated once for each salt. Both sides must use the same name for
+    ``key``; null keys find no partner.
+    """
+    hot = hot_keys(left.filter(F.col(key).isNotNull()), key, hot_rows)
+    left = salted(left, key, spread, hot, "__salt")
+    hot = F.broadcast(hot.withColumnRenamed(key, "__hot_key"))
+    right = right.join(hot, right[key] == F.col("__hot_key"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    return left.join(right.drop("__hot_key", "salts"), [key, "__salt"], "left").drop("__salt")
