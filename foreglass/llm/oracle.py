@@ -5,7 +5,18 @@ _CUT = f"""{_SCORED},
  ranked as (select *, row_number() over (partition by submission_id order by brier_score) rn, count(*) over (partition by submission_id) n from scored),
  cuts as (select submission_id, max(brier_score) cutoff, max(n) n from ranked where rn = greatest(1, n // 5) group by submission_id)"""
 
+_TRIM = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+_RECORDS = f"""records as (select distinct event_ticker, submission_id, lower({_TRIM.format('category')}) name from sampled_rows where event_ticker is not null and submission_id is not null),
+ supply as (select name, sum(least(n, 5)) available from (select name, event_ticker, count(*) n from records group by all) group by name),
+ needs as (select category, target_share, min_rows, greatest(min_rows, cast(floor(target_share * sample_size + 0.5 + 1e-9) as bigint)) wanted, coalesce(available, 0) available from category_targets left join supply on lower(category) = name)"""
+
 ORACLE = {
+    "p1_found": f"with {_RECORDS} select category from needs where available < wanted",
+    "p2_found": f"""with recursive pairs as (select distinct upper({_TRIM.format('event_ticker')}) e, regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g') s from predictions where event_ticker is not null and submission_id is not null),
+ kept as (select * from pairs where e <> '' and regexp_matches(s, '[1-9a-f]')),
+ links as (select distinct a.e a, b.e b from kept a join kept b on a.s = b.s and a.e <> b.e),
+ reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+ select distinct a event_ticker_a, b event_ticker_b from reach where a < b""",
     "p4_found": f"""with {_SCORED},
  ranked as (select *, row_number() over (partition by submission_id order by brier_score, forecaster, score_id) rn from scored)
  select submission_id, score_id from ranked where rn <= 3""",

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.llm.cutoff import cutoffs
+from foreglass.llm.raking import RakedSample
+from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
 from foreglass.llm.topn import top_n
 
 
@@ -14,6 +16,40 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _raked(spark: SparkSession, sf_dir: str) -> RakedSample:
+    return RakedSample(read(spark, sf_dir, "sampled_rows"), read(spark, sf_dir, "category_targets"), "event_ticker", "submission_id", "category", margin="round")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that have fewer records than their target asks for."""
+    return _raked(spark, sf_dir).report().filter("short > 0").select("category")
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, supply and drawn rows of each category."""
+    return _raked(spark, sf_dir).report()
+
+
+def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drawn records."""
+    return _raked(spark, sf_dir).rows.select(F.col("event").alias("event_ticker"), F.col("record").alias("submission_id"), "category")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of tickers bound by shared submissions, directly or through a chain."""
+    rows = read(spark, sf_dir, "predictions").select(plain_ticker(F.col("event_ticker")).alias("hub"), plain_hex(F.col("submission_id")).alias("spoke"))
+    roots, _ = bound_labels(rows, "hub", "spoke")
+    return bound_pairs(roots).select(F.col("a").alias("event_ticker_a"), F.col("b").alias("event_ticker_b"))
+
+
+def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split of each prediction."""
+    shares = [(r.split_name, r.share) for r in read(spark, sf_dir, "split_shares").collect()]  # some rows of configuration
+    shares.sort(key=lambda s: (-s[1], s[0]))
+    rows = split_together(read(spark, sf_dir, "predictions"), "prediction_id", plain_ticker(F.col("event_ticker")), plain_hex(F.col("submission_id")), shares)
+    return rows.select("prediction_id", "component", "split_name")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of ``brier_scores`` with a submission and a score from 0 to 1."""
     return read(spark, sf_dir, "brier_scores").filter("submission_id is not null and not isnan(brier_score) and brier_score between 0 and 1")
@@ -37,6 +73,11 @@ def p5_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_report": p1_report,
+    "p1_sample": p1_sample,
+    "p2_found": p2_found,
+    "p2_splits": p2_splits,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_cutoffs": p5_cutoffs,
