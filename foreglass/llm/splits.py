@@ -58,7 +58,7 @@ def contract(edges: DataFrame) -> list[DataFrame]:
     return maps
 
 
-def unwind(maps: list[DataFrame], schema: str) -> DataFrame | None:
+def unwind(maps: list[DataFrame]) -> DataFrame | None:
     """``(vertex, root)`` of every vertex that collapsed, from the last round back to the first."""
     labels = None
     for collapsed in reversed(maps):
@@ -67,7 +67,7 @@ def unwind(maps: list[DataFrame], schema: str) -> DataFrame | None:
             continue
         up = labels.select(F.col("vertex").alias("parent"), "root")
         own = collapsed.join(up, "parent", "left").select("vertex", F.coalesce("root", "parent").alias("root"))
-        labels = own.union(labels)
+        labels = cut(own.union(labels))  # else the plan doubles in every round
     return labels
 
 
@@ -76,8 +76,8 @@ def components(links: DataFrame, schema: str = "vertex string, root string") ->
 
     A null end binds nothing. An empty input gives an empty result.
     """
-    labels = unwind(contract(links), schema)
-    return links.sparkSession.createDataFrame([], schema) if labels is None else cut(labels)
+    labels = unwind(contract(links))
+    return links.sparkSession.createDataFrame([], schema) if labels is None else labels
 
 
 def bound_labels(rows: DataFrame, hub: str, spoke: str) -> tuple[DataFrame, DataFrame]:
