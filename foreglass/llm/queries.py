@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.llm.cutoff import cutoffs
+from foreglass.llm.pieces import pieces
 from foreglass.llm.raking import RakedSample
 from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
+from foreglass.llm.tokens import encode
 from foreglass.llm.topn import top_n
 
 
@@ -72,6 +74,21 @@ def p5_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnRenamed("source", "submission_id")
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(read(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document over 512 tokens, with 64 tokens of overlap."""
+    return pieces(read(spark, sf_dir, "documents"), "doc_id", "text", 512, 64)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that have to be cut."""
+    return p10_pieces(spark, sf_dir).filter("piece = 0").select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_report": p1_report,
@@ -81,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_cutoffs": p5_cutoffs,
+    "p8_ids": p8_ids,
+    "p10_found": p10_found,
+    "p10_pieces": p10_pieces,
 }
