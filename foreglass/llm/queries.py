@@ -12,6 +12,7 @@ from foreglass.llm.raking import RakedSample
 from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
 from foreglass.llm.tokens import encode
 from foreglass.llm.topn import top_n
+from foreglass.llm.truncation import truncated, truncation_rates
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,6 +53,25 @@ def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("prediction_id", "component", "split_name")
 
 
+def _truncated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return truncated(read(spark, sf_dir, "model_outputs"), "output_id", "model", "content", "market_outcome")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs that stop before the answer was finished."""
+    return _truncated(spark, sf_dir)[0].filter("truncated").select("output_id")
+
+
+def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of broken-off outputs of each model."""
+    return truncation_rates(_truncated(spark, sf_dir)[0]).withColumnRenamed("source", "model")
+
+
+def p3_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths at which a model's outputs end far too often."""
+    return _truncated(spark, sf_dir)[1].withColumnRenamed("source", "model")
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of ``brier_scores`` with a submission and a score from 0 to 1."""
     return read(spark, sf_dir, "brier_scores").filter("submission_id is not null and not isnan(brier_score) and brier_score between 0 and 1")
@@ -95,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_sample": p1_sample,
     "p2_found": p2_found,
     "p2_splits": p2_splits,
+    "p3_found": p3_found,
+    "p3_rates": p3_rates,
+    "p3_lengths": p3_lengths,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_cutoffs": p5_cutoffs,
