@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.llm.cutoff import cutoffs
+from foreglass.llm.defects import defects
 from foreglass.llm.pieces import pieces
 from foreglass.llm.raking import RakedSample
 from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
@@ -94,6 +95,12 @@ def p5_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnRenamed("source", "submission_id")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unusable answers with their kind of defect."""
+    answers = {name: F.col(f"augmented_rationale.{name}") for name in ("source_analysis", "market_analysis", "rationale")}
+    return defects(read(spark, sf_dir, "augmented_reasoning"), "aug_id", answers, ["title", "original_rationale"], "original_rationale")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encode(read(spark, sf_dir, "documents"), "doc_id", "text")
@@ -121,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_cutoffs": p5_cutoffs,
+    "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
     "p10_pieces": p10_pieces,
