@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.llm.cutoff import cutoffs
 from foreglass.llm.defects import defects
+from foreglass.llm.leaks import leaks
 from foreglass.llm.pieces import pieces
 from foreglass.llm.raking import RakedSample
 from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
@@ -106,6 +107,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of evaluation items."""
+    return leaks(read(spark, sf_dir, "documents"), "doc_id", "text", read(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
 def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every document over 512 tokens, with 64 tokens of overlap."""
     return pieces(read(spark, sf_dir, "documents"), "doc_id", "text", 512, 64)
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_cutoffs": p5_cutoffs,
     "p6_found": p6_found,
     "p8_ids": p8_ids,
+    "p9_found": p9_found,
     "p10_found": p10_found,
     "p10_pieces": p10_pieces,
 }
