@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from foreglass.session import written
@@ -27,7 +28,7 @@ WORDS_PER_ERROR = 8
 PASSAGE = 12
 STEP = 2
 RANK = 256
-LEAST_COSINE = 0.5
+LEAST_COSINE = 0.55
 #: Terms of the latent space; an item set with more distinct words is hashed into so many.
 MAX_TERMS = 4096
 #: Rows of the item table that are held by each task.
@@ -36,13 +37,16 @@ MAX_ITEMS = 100_000
 BLOCK_WORDS = 100_000
 
 # Letters without canonical decomposition, tags that part no words, and lines that are page furniture.
-_LETTERS = str.maketrans({"ø": "o", "æ": "ae", "œ": "oe", "ß": "ss", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i", "ħ": "h"})
+_LETTERS = {"ø": "o", "æ": "ae", "œ": "oe", "ß": "ss", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i", "ħ": "h"}
+_LETTER = re.compile("[" + "".join(_LETTERS) + "]")
+_MARKS = regex.compile(r"[\p{Mn}\p{Me}\p{Cf}]+")
 _INLINE = re.compile(r"</?(?:b|i|u|s|em|strong|span|a|sup|sub|mark|small|code|font|q|cite|abbr|wbr)(?:\s[^<>]*)?/?>", re.I)
 _TAG = re.compile(r"<!--.*?-->|</?[a-z!][^<>]{0,300}>", re.I | re.S)
 _LINK = re.compile(r"\]\([^()\s]*\)")
 _FURNITURE = re.compile(r"^[^\S\n]*(?:[\[(]?\s*(?:continued|page|sheet|p\.)[^\n]{0,24}\d+\s*[\])]?|(?:user|assistant|system)\s*:|[-*•]|\d{1,3}[.)])(?=\s|$)", re.I | re.M)
-_HYPHENATED = re.compile(r"(?<=\w)[-‐‑¬][^\S\n]*\n[^\S\n]*(?:[>|*#][^\S\n]*)?(?=\w)")
-_WITHIN = re.compile(r"(?<=\w)['’`´‘ʼ\-‐‑‒](?=\w)|(?<=\d)[.,](?=\d)")
+_SOFT = re.compile("\u00ad\\s*")
+_HYPHENATED = re.compile(r"[-‐‑¬](?<=\w.)[^\S\n]*\n[^\S\n]*(?:[>|*#][^\S\n]*)?(?=\w)")
+_WITHIN = re.compile(r"['’`´‘ʼ\-‐‑‒](?<=\w.)(?=\w)|[.,](?<=\d.)(?=\d)")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -55,10 +59,13 @@ def plain_words(text: str) -> list[str]:
         text = _TAG.sub(" ", _INLINE.sub("", text))
     if "](" in text:
         text = _LINK.sub("] ", text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf", "Me"))
-    text = _HYPHENATED.sub("", _FURNITURE.sub(" ", text)).lower().translate(_LETTERS)
+    plain = text.isascii()
+    if not plain:
+        text = _SOFT.sub("", text)
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+    text = _HYPHENATED.sub("", _FURNITURE.sub(" ", text)).lower()
+    if not plain:
+        text = _LETTER.sub(lambda m: _LETTERS[m[0]], text)
     return _WORD.findall(_WITHIN.sub("", text))
 
 

@@ -44,9 +44,19 @@ class Ruler:
         ahead = np.where(before, strength[np.minimum(self.place + 1, len(text))], 0)
         word = np.where(before | ((self.place > 0) & blank[np.maximum(self.place - 1, 0)]), WORD, INSIDE)
         self.strength = np.maximum(np.maximum(strength[self.place], ahead), word)
+        self.encoder, self.refined = encoder, False
+
+    def count(self, begin: int, end: int) -> int:
+        """Tokens of ``text[begin:end]``. Words depend on one character ahead at most, so only the last ones are split again."""
+        if self.refined:
+            return self.encoder.count(self.text[begin:end])
+        a, b = int(np.searchsorted(self.place, begin)), int(np.searchsorted(self.place, end))
+        last = max(a, b - 3)
+        return int(self.tokens[last] - self.tokens[a]) + self.encoder.count(self.text[int(self.place[last]):end])
 
     def refine(self, index: int) -> int:
         """Put cuts at every character into the word after place ``index``; the number of new cuts."""
+        self.refined = True
         a, b = int(self.place[index]), int(self.place[index + 1])
         if b - a < 2:
             return 0
@@ -107,11 +117,11 @@ def split_text(text: str, encoder: Encoder, limit: int = 512, overlap: int = 64)
         out, start, fits = [], 0, True
         for end in ends:
             begin = _overlap_begin(ruler, out[-1][1], start, overlap) if start else 0
-            size = encoder.count(text[begin:end])
+            size = ruler.count(begin, end)
             # a cut may cost a token or two on each side of it
-            while begin < start and (size > limit or encoder.count(text[begin:start]) > overlap):
+            while begin < start and (size > limit or ruler.count(begin, start) > overlap):
                 begin = int(ruler.place[np.searchsorted(ruler.place, begin, "right")])
-                size = encoder.count(text[begin:end])
+                size = ruler.count(begin, end)
             fits &= size <= limit or end - start == 1
             out.append((begin, start, end, size))
             start = end
