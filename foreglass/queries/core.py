@@ -1,4 +1,6 @@
 """Core queries and their oracle SQL."""
 
-QUERIES: dict = {}
+from foreglass.queries import nested
+
+QUERIES: dict = {**nested.QUERIES}
 ORACLE: dict = {}
