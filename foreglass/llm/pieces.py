@@ -27,9 +27,8 @@ SLACK = 0.25
 class Ruler:
     """Character positions where a text may be cut, their strength, and the tokens before them."""
 
-    def __init__(self, text: str, encoder: Encoder):
+    def __init__(self, text: str, encoder: Encoder, words: list[str]):
         self.text = text
-        (words,) = encoder.words([text])
         known = encoder.known
         self.place = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])
         self.tokens = np.concatenate([[0.0], np.cumsum([len(known[w]) for w in words], dtype=float)])
@@ -100,16 +99,18 @@ def cut_positions(ruler: Ruler, limit: int) -> list[int]:
     return sorted(done)
 
 
-def split_text(text: str, encoder: Encoder, limit: int = 512, overlap: int = 64) -> list[tuple[int, int, int, int]]:
+def split_text(text: str, encoder: Encoder, limit: int = 512, overlap: int = 64, words: list[str] | None = None) -> list[tuple[int, int, int, int]]:
     """``(begin, core, end, tokens)`` of each piece, in characters: it holds ``text[begin:end]`` and repeats ``text[begin:core]``.
 
     The cores follow each other without gap; each piece has at most ``limit``
     tokens, counted on its own text.
     """
-    whole = encoder.count(text)
+    if words is None:
+        (words,) = encoder.words([text])
+    whole = sum(len(encoder.known[w]) for w in words)
     if whole <= limit:
         return [(0, 0, len(text), whole)]
-    ruler = Ruler(text, encoder)
+    ruler = Ruler(text, encoder, words)
     room = limit - overlap
     while True:
         cuts = cut_positions(ruler, room)  # may refine the ruler
@@ -128,7 +129,7 @@ def split_text(text: str, encoder: Encoder, limit: int = 512, overlap: int = 64)
         if fits:
             return out
         room = room * 3 // 4
-        ruler = Ruler(text, encoder)
+        ruler = Ruler(text, encoder, encoder.words([text])[0])
 
 
 def _overlap_begin(ruler: Ruler, previous: int, start: int, overlap: int) -> int:
@@ -160,11 +161,12 @@ def pieces(df: DataFrame, identifier: str, text: str, limit: int = 512, overlap:
         encoder = Encoder(Merges(*merges.value))
         for block in blocks(batches):
             texts = block.column("text").to_pylist()
-            sizes = [sum(len(encoder.known[w]) for w in words) for words in encoder.words(texts)]
+            split = encoder.words(texts)
+            sizes = [sum(len(encoder.known[w]) for w in words) for words in split]
             source, out = [], []
             for i, (t, size) in enumerate(zip(texts, sizes, strict=True)):
                 if size > limit:
-                    for number, piece in enumerate(split_text(t, encoder, limit, overlap)):
+                    for number, piece in enumerate(split_text(t, encoder, limit, overlap, split[i])):
                         source.append(i)
                         out.append((number, *piece, t[piece[0]:piece[2]]))
             if source:
