@@ -68,7 +68,8 @@ def clean_title(answer: Column) -> Column:
 
 def without_assistant(messages: Column) -> Column:
     """The first two messages of a chat of two or three; null for other lengths and orders."""
-    fits = F.size(messages).isin(2, 3) & (messages[0]["role"] == "system") & (messages[1]["role"] == "user") & ((F.size(messages) == 2) | (F.try_element_at(messages, F.lit(3))["role"] == "assistant"))
+    roles = F.transform(messages, lambda m: m["role"])
+    fits = roles.isin(F.array(F.lit("system"), F.lit("user")), F.array(F.lit("system"), F.lit("user"), F.lit("assistant")))
     return F.when(fits, F.slice(messages, 1, 2))
 
 

@@ -1,6 +1,574 @@
-"""Core queries and their oracle SQL."""
+"""Core queries and their oracle SQL, side by side."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from foreglass.functions import text
+from foreglass.operators import analyze, enrich, ingest, metrics, ranking, sampling, selection, weights
+from foreglass.plans.judge import ask
+from foreglass.plans.prompts import REASONING, TITLE
 from foreglass.queries import nested
+from foreglass.queries.views import FORECASTS_SQL, MARKETS_SQL, SCORES_SQL, forecasts, markets, read, scores
+from foreglass.streaming.scoring import score_outputs
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = dict(nested.QUERIES)
+ORACLE: dict[str, str] = {}
+METRIC = "brier_score"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its name, with its oracle if SQL can express it."""
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def six(name: str):
+    return F.round(name, 6).alias(name)
+
+
+def fx(*parts: str) -> str:
+    return "with" + FORECASTS_SQL + "".join(f",\n {p}" for p in parts) + "\n"
+
+
+def b(*parts: str) -> str:
+    return "with" + SCORES_SQL + "".join(f",\n {p}" for p in parts) + "\n"
+
+
+def mk(*parts: str) -> str:
+    return "with" + MARKETS_SQL + "".join(f",\n {p}" for p in parts) + "\n"
+
+
+# --- scores and leaderboards -------------------------------------------------
+
+
+@query(fx() + "select row_id, forecaster, event_ticker, submission_id, round, round(brier_score, 6) brier_score from sc")
+def brier_score(spark, sf_dir):
+    return metrics.with_brier(forecasts(spark, sf_dir)).select("row_id", "forecaster", "event_ticker", "submission_id", "round", six("brier_score"))
+
+
+@query(fx() + "select cast(rank() over (order by s) as int) rank, forecaster, round(s, 6) score from (select forecaster, sum(brier_score * weight) / sum(weight) s from sc group by forecaster)")
+def forecaster_leaderboard(spark, sf_dir):
+    return ranking.rank_forecasters(metrics.with_brier(forecasts(spark, sf_dir))).select("rank", "forecaster", six("score"))
+
+
+@query(fx("n as (select *, weight / count(*) over (partition by forecaster, event_ticker) w from sc)") + "select cast(rank() over (order by s) as int) rank, forecaster, round(s, 6) score from (select forecaster, sum(brier_score * w) / sum(w) s from n group by forecaster)")
+def leaderboard_round_normalized(spark, sf_dir):
+    return ranking.rank_forecasters(metrics.with_brier(forecasts(spark, sf_dir)), by_round=True).select("rank", "forecaster", six("score"))
+
+
+_BASELINE = fx("base as (select * from (select *, row_number() over (partition by submission_id order by row_id) rn from fx) where rn = 1)",
+               "every as (select forecaster, weight, brier_score from sc union all select 'market-baseline', weight, ((a1-y1)*(a1-y1) + (a2-y2)*(a2-y2) + (a3-y3)*(a3-y3)) / 3 from base)")
+
+
+@query(_BASELINE + "select cast(rank() over (order by s) as int) rank, forecaster, round(s, 6) score from (select forecaster, sum(brier_score * weight) / sum(weight) s from every group by forecaster)")
+def market_baseline_leaderboard(spark, sf_dir):
+    rows = ranking.with_market_baseline(forecasts(spark, sf_dir))
+    return ranking.rank_forecasters(metrics.with_brier(rows)).select("rank", "forecaster", six("score"))
+
+
+_EDGES = "e as (select *, " + ", ".join(f"p{i}/a{i} ye{i}, (1-p{i})/n{i} ne{i}, case when p{i}/a{i} > (1-p{i})/n{i} then y{i}/a{i} else (1-y{i})/n{i} end pay{i}, greatest(p{i}/a{i}, (1-p{i})/n{i}) best{i}" for i in (1, 2, 3)) + " from fx)"
+_ALLIN = "r as (select *, case when best1 >= best2 and best1 >= best3 then pay1 when best2 >= best3 then pay2 else pay3 end average_return from e)"
+
+
+def _returns(spark, sf_dir, spread: bool = False):
+    return forecasts(spark, sf_dir).withColumn("average_return", metrics.average_return(F.col("prediction"), F.col("market_outcome"), F.col("odds"), F.col("no_odds"), spread))
+
+
+@query(fx(_EDGES, _ALLIN) + "select row_id, forecaster, round(average_return, 6) average_return from r")
+def average_return_allin(spark, sf_dir):
+    return _returns(spark, sf_dir).select("row_id", "forecaster", six("average_return"))
+
+
+@query(fx(_EDGES) + "select row_id, forecaster, round((pay1 + pay2 + pay3) / 3, 6) average_return from e")
+def average_return_spread(spark, sf_dir):
+    return _returns(spark, sf_dir, True).select("row_id", "forecaster", six("average_return"))
+
+
+@query(fx(_EDGES, _ALLIN) + "select forecaster, round(avg(average_return - 1) / stddev_samp(average_return - 1), 6) sharpe_ratio, round(avg(average_return - 1), 6) mean_excess_return, round(stddev_samp(average_return - 1), 6) std_excess_return from r group by forecaster")
+def sharpe_ratio(spark, sf_dir):
+    return metrics.sharpe(_returns(spark, sf_dir), "average_return", 1.0).select("forecaster", six("sharpe_ratio"), six("mean_excess_return"), six("std_excess_return"))
+
+
+@query(fx(_EDGES, _ALLIN, "ev as (select forecaster, event_ticker, sum(average_return * weight) / sum(weight) - 1 x from r group by all)") + "select forecaster, round(case when stddev_samp(x) > 0 then avg(x) / stddev_samp(x) when avg(x) = 0 then 0 else sign(avg(x)) * 'inf'::double end, 6) sharpe_ratio, round(avg(x), 6) mean_excess_return, round(stddev_samp(x), 6) std_excess_return from ev group by forecaster")
+def sharpe_by_event(spark, sf_dir):
+    return metrics.sharpe(_returns(spark, sf_dir), "average_return", 1.0, by_event=True).select("forecaster", six("sharpe_ratio"), six("mean_excess_return"), six("std_excess_return"))
+
+
+_PAIRS = "pairs as (select forecaster, weight / 3 w, unnest([p1, p2, p3]) p, unnest([y1, y2, y3]) y from fx)"
+_INNER = "[" + ", ".join(f"{e!r}::double" for e in metrics.bin_edges(10)) + "]"
+
+
+def _bins(edges: str) -> list[str]:
+    return [f"binned as (select pairs.*, len(list_filter({edges}, lambda e: p >= e)) bin from pairs{' join q using (forecaster)' if edges == 'inner_edges' else ''})",
+            "bins as (select forecaster, bin, sum(w) sw, sum(w*p)/sum(w) confidence, sum(w*y)/sum(w) accuracy, count(*) c from binned group by all)",
+            "whole as (select forecaster, sum(sw) aw, sum(c) n from bins group by all)",
+            "counted as (select forecaster, bin, confidence, accuracy, cast(floor(sw * n / aw + 1e-9) as bigint) count, n from bins join whole using (forecaster))"]
+
+
+_ECE = "select forecaster, round(sum(abs(confidence - accuracy) * count / n), 6) ece_score from counted group by forecaster"
+
+
+@query(fx(_PAIRS, *_bins(_INNER)) + _ECE)
+def ece_uniform(spark, sf_dir):
+    return metrics.calibration_error(forecasts(spark, sf_dir)).select("forecaster", six("ece_score"))
+
+
+@query(fx(_PAIRS, *_bins(_INNER)) + "select forecaster, cast(bin as int) bin, round(confidence, 6) confidence, round(accuracy, 6) accuracy, count from counted")
+def ece_bins_detail(spark, sf_dir):
+    return metrics.calibration_bins(forecasts(spark, sf_dir)).select("forecaster", "bin", six("confidence"), six("accuracy"), "count")
+
+
+_QUANTILES = "q as (select forecaster, list_distinct(quantile_cont(p, [" + ", ".join(f"{i / 5!r}" for i in range(6)) + "])) e from pairs group by forecaster), q0 as (select forecaster, list_sort(e) e from q)"
+
+
+@query(fx(_PAIRS, _QUANTILES.replace("q as", "qa as", 1).replace("from q)", "from qa)"), "q as (select forecaster, e[2:len(e)-1] inner_edges from q0)", *_bins("inner_edges")) + _ECE)
+def ece_quantile(spark, sf_dir):
+    return metrics.calibration_error(forecasts(spark, sf_dir), n_bins=5, strategy="quantile").select("forecaster", six("ece_score"))
+
+
+_SUMMARY = """select count(*) n, count(distinct event_ticker) n_events, count(distinct submission_id) n_submissions, round(avg(brier_score), 6) mean, round(median(brier_score), 6) median, round(min(brier_score), 6) min, round(max(brier_score), 6) max, round(stddev_samp(brier_score), 6) std,
+ any_value(em) event_mean, any_value(ed) event_median, any_value(ei) event_min, any_value(ex) event_max, any_value(es) event_std
+ from b cross join (select round(avg(m), 6) em, round(median(m), 6) ed, round(min(m), 6) ei, round(max(m), 6) ex, round(stddev_samp(m), 6) es from (select event_ticker, avg(brier_score) m from b where brier_score is not null group by 1)) where brier_score is not null"""
+
+
+@query(b() + _SUMMARY)
+def score_summary(spark, sf_dir):
+    rows = metrics.score_summary(scores(spark, sf_dir))
+    return rows.select(*(c if t == "bigint" else six(c) for c, t in rows.dtypes))
+
+
+@query(b() + "select count(brier_score) n_valid, round(avg(brier_score), 6) mean_score, (select round(avg(m), 6) from (select avg(brier_score) m from b where brier_score is not null group by event_ticker)) event_mean_score, (select count(*) from (select distinct event_ticker from b where brier_score is not null)) n_events from b")
+def event_mean_summary(spark, sf_dir):
+    return metrics.event_mean(scores(spark, sf_dir)).select("n_valid", six("mean_score"), six("event_mean_score"), "n_events")
+
+
+@query()
+def bootstrap_ci(spark, sf_dir):
+    return ranking.rank_forecasters(scores(spark, sf_dir), interval={"n": 1000, "level": 0.9, "seed": 42})
+
+
+# --- selection ---------------------------------------------------------------
+
+_Z = ["g as (select submission_id, count(*) n, avg(brier_score) m, stddev_samp(brier_score) s from b where submission_id is not null group by 1)",
+      "rep as (select submission_id from (select submission_id, forecaster, count(*) c from b group by all) group by 1 having max(c) = 1)",
+      "z as (select b.*, (brier_score - m) / s z_score from b join g using (submission_id) join rep using (submission_id) where n >= 2 and s > 0)"]
+_AMB = ["amb_g as (select submission_id from b where submission_id is not null group by 1 having count(*) = count(brier_score) and min(brier_score) > 0.15)",
+        "amb_rows as (select b.* from b join amb_g using (submission_id) where brier_score < 0.25)",
+        "amb as (select * exclude (rn) from (select *, row_number() over (partition by submission_id order by brier_score, row_id) rn from amb_rows) where rn <= 3)"]
+_PLACED = "placed as (select *, row_number() over (partition by submission_id order by coalesce(brier_score, 'inf'::double), row_id) rn, count(*) over (partition by submission_id) n from b where submission_id is not null)"
+_KEY = ["row_id", "submission_id", "forecaster"]
+
+
+@query(b(*_Z) + "select row_id, submission_id, forecaster from z where z_score < -1.5 and brier_score <= 0.15")
+def z_score_filter(spark, sf_dir):
+    return selection.top_z_score(scores(spark, sf_dir), METRIC, "row_id", 1.5, -1, 0.15).select(_KEY)
+
+
+@query(b(*_AMB) + "select row_id, submission_id, forecaster from amb")
+def ambiguous_filter(spark, sf_dir):
+    return selection.ambiguous(scores(spark, sf_dir), METRIC, "row_id", 0.25, 0.15, 3).select(_KEY)
+
+
+@query(b(_PLACED) + "select row_id, submission_id, forecaster from placed where rn <= 2")
+def absolute_topk(spark, sf_dir):
+    return selection.top_absolute(scores(spark, sf_dir), METRIC, "row_id", top_k=2).select(_KEY)
+
+
+@query(b(_PLACED) + "select row_id, submission_id, forecaster from placed where rn <= greatest(1, floor(n * 0.1::double)) and brier_score <= 0.2")
+def absolute_topp(spark, sf_dir):
+    return selection.top_absolute(scores(spark, sf_dir), METRIC, "row_id", top_p=0.1, min_val=0.2).select(_KEY)
+
+
+_COMBINED = "tagged as (select 0 part, row_id, forecaster, event_ticker, submission_id, round from z where z_score < -1.5 and brier_score <= 0.15 union all select 1, row_id, forecaster, event_ticker, submission_id, round from amb)"
+
+
+@query(b(*_Z, *_AMB, _COMBINED) + "select row_id, submission_id, forecaster from (select *, row_number() over (partition by forecaster, event_ticker, submission_id, round order by part, row_id) rn from tagged) where rn = 1")
+def combined_filter(spark, sf_dir):
+    rows = scores(spark, sf_dir)
+    parts = [selection.top_z_score(rows, METRIC, "row_id", 1.5, -1, 0.15), selection.ambiguous(rows, METRIC, "row_id", 0.25, 0.15, 3)]
+    return selection.combine(parts, "row_id", rows).select(_KEY)
+
+
+def _dedup_sql(order: str) -> str:
+    return b() + f"select row_id, submission_id, forecaster from (select *, row_number() over (partition by event_ticker, submission_id order by {order}) rn from b) where rn = 1"
+
+
+@query(_dedup_sql("row_id"))
+def dedup_first(spark, sf_dir):
+    return selection.deduplicate_problems(scores(spark, sf_dir), "row_id", "first").select(_KEY)
+
+
+@query(_dedup_sql("md5('42|' || row_id), row_id"))
+def dedup_random_md5(spark, sf_dir):
+    return selection.deduplicate_problems(scores(spark, sf_dir), "row_id", "random", 42).select(_KEY)
+
+
+@query(_dedup_sql("coalesce(brier_score, 'inf'::double), row_id"))
+def dedup_best(spark, sf_dir):
+    return selection.deduplicate_problems(scores(spark, sf_dir), "row_id", "best_brier").select(_KEY)
+
+
+@query(b() + "select row_id, submission_id, forecaster from b order by md5('42|' || row_id), row_id limit 500")
+def limit_problems_md5(spark, sf_dir):
+    return selection.limit_problems(scores(spark, sf_dir), "row_id", 500, True, 42).select(_KEY)
+
+
+@query(b() + "select row_id, submission_id, forecaster from (select *, row_number() over (partition by event_ticker order by row_id) rn from b) where rn <= 5")
+def cap_per_event(spark, sf_dir):
+    return selection.cap_per_event(scores(spark, sf_dir), ["row_id"], 5).select(_KEY)
+
+
+_DONE = "done as (select distinct submission_id, forecaster from augmented_reasoning)"
+
+
+@query(b(_DONE) + "select row_id, submission_id, forecaster from b anti join done using (submission_id, forecaster)")
+def remaining_work_anti(spark, sf_dir):
+    return selection.remaining_work(scores(spark, sf_dir), read(spark, sf_dir, "augmented_reasoning"))[0].select(_KEY)
+
+
+@query(b(_DONE) + "select distinct aug_id, submission_id, forecaster from augmented_reasoning semi join (select distinct submission_id, forecaster from b) using (submission_id, forecaster)")
+def wanted_results_semi(spark, sf_dir):
+    return selection.remaining_work(scores(spark, sf_dir), read(spark, sf_dir, "augmented_reasoning"))[1].select("aug_id", "submission_id", "forecaster").distinct()
+
+
+@query(b() + "select row_id, submission_id, forecaster from b where not exists (select 1 from model_outputs m where m.event_ticker is not distinct from b.event_ticker and m.submission_id is not distinct from b.submission_id)")
+def exclude_test_set(spark, sf_dir):
+    return selection.exclude_pairs(scores(spark, sf_dir), read(spark, sf_dir, "model_outputs")).select(_KEY)
+
+
+# --- weights and windows -----------------------------------------------------
+
+_TIME_RANK = "tr as (select row_id, forecaster, event_ticker, round, rank() over (partition by forecaster, event_ticker order by round desc) + (count(*) over (partition by forecaster, event_ticker, round) - 1) / 2.0 - 1 time_rank from fx)"
+
+
+@query(fx(_TIME_RANK) + "select row_id, round(cast(time_rank as double), 6) time_rank from tr")
+def time_rank(spark, sf_dir):
+    return weights.with_time_rank(forecasts(spark, sf_dir)).select("row_id", six("time_rank"))
+
+
+@query(fx(_TIME_RANK) + "select row_id, round(exp(-0.1::double * time_rank), 6) weight from tr")
+def exp_weighting(spark, sf_dir):
+    return weights.exponential(0.1)(weights.with_time_rank(forecasts(spark, sf_dir))).select("row_id", six("weight"))
+
+
+def _nth_sql(order: str) -> str:
+    return fx() + f"select row_id, case when row_number() over (partition by forecaster, event_ticker order by round {order}, row_id) <= 2 then 1.0::double else 0.0::double end weight from fx"
+
+
+@query(_nth_sql(""))
+def first_n_weighting(spark, sf_dir):
+    return weights.first_n(2, ["row_id"])(forecasts(spark, sf_dir)).select("row_id", "weight")
+
+
+@query(_nth_sql("desc"))
+def last_n_weighting(spark, sf_dir):
+    return weights.last_n(2, ["row_id"])(forecasts(spark, sf_dir)).select("row_id", "weight")
+
+
+# --- splits and samples ------------------------------------------------------
+
+
+def _split_sql(draw: str) -> str:
+    return fx("sizes as (select event_ticker, count(*) n from fx group by 1)", f"run as (select event_ticker, n, sum(n) over (order by {draw}, event_ticker rows between unbounded preceding and current row) - n before from sizes)") + "select event_ticker, case when before < floor((select count(*) from fx) * 0.1::double) then 'test' else 'train' end split, n n_rows from run"
+
+
+def _split(spark, sf_dir, seed):
+    return sampling.split_by_event(forecasts(spark, sf_dir), 0.1, seed).groupBy("event_ticker", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(_split_sql("md5('42|' || event_ticker)"))
+def train_test_split(spark, sf_dir):
+    return _split(spark, sf_dir, 42)
+
+
+@query(_split_sql("n"))
+def split_deterministic(spark, sf_dir):
+    return _split(spark, sf_dir, -1)
+
+
+_DRAWN = ["drawn as (select *, case when category in ('BUILDING', 'MACHINERY') then category else 'Other' end cat, md5('42|' || row_id) draw from one)",
+          "capped as (select * from (select *, row_number() over (partition by event_ticker order by draw, row_id) rn from drawn) where rn <= 3)",
+          "ranked as (select *, row_number() over (partition by cat order by draw, row_id) place from capped)"]
+
+
+@query(fx("one as (select distinct row_id, event_ticker, category from fx)", *_DRAWN) + "select row_id, event_ticker, category from ranked where place <= case cat when 'BUILDING' then 300 when 'MACHINERY' then 200 else 100 end")
+def category_sampler(spark, sf_dir):
+    rows = forecasts(spark, sf_dir).select("row_id", "event_ticker", "category").distinct()
+    return sampling.category_sample(rows, {"BUILDING": 300, "MACHINERY": 200}, "row_id", 3, other=100, seed=42)
+
+
+@query("with c as (select category, count(*) n from submissions group by 1) select category, n, round(n / sum(n) over (), 6) share from c qualify n / sum(n) over () >= 0.01")
+def category_distribution(spark, sf_dir):
+    return sampling.category_distribution(read(spark, sf_dir, "submissions")).select("category", "n", six("share"))
+
+
+def _assigned_sql(drawn: str) -> str:
+    return b("sz as (select floor(count(*) * 0.3::double) k from b)") + drawn
+
+
+_ORDER = "select row_id, row_number() over (order by md5('{}|' || row_id), row_id) p from b"
+
+
+@query(_assigned_sql(" union all ".join(f"select row_id, 'model-{m}' augmenter from ({_ORDER.format(2025 + i)}), sz where p <= k" for i, m in enumerate("ab"))))
+def model_assignment(spark, sf_dir):
+    return sampling.assign_random(scores(spark, sf_dir), ["model-a", "model-b"], 0.3, "row_id", True, 2025).select("row_id", "augmenter")
+
+
+@query(_assigned_sql(f"select row_id, case when p <= k then 'model-a' else 'model-b' end augmenter from ({_ORDER.format(2025)}), sz where p <= 2 * k"))
+def model_assignment_disjoint(spark, sf_dir):
+    return sampling.assign_random(scores(spark, sf_dir), ["model-a", "model-b"], 0.3, "row_id", False, 2025).select("row_id", "augmenter")
+
+
+@query(b() + "select row_id, unnest(['model-a', 'model-b']) augmenter from b")
+def model_assignment_repetitive(spark, sf_dir):
+    return sampling.assign_repetitive(scores(spark, sf_dir), ["model-a", "model-b"]).select("row_id", "augmenter")
+
+
+# --- snapshots and joins -----------------------------------------------------
+
+_CANON = ["canon as (select distinct v.event_ticker, market_title from vm v join (select event_ticker, min(created_at) created_at from vm group by 1) f on v.event_ticker = f.event_ticker and v.created_at = f.created_at)",
+          "held as (select v.event_ticker, v.created_at, count(*) n, sum(yes_ask) yes_sum from vm v join canon c on v.event_ticker = c.event_ticker and v.market_title = c.market_title group by v.event_ticker, v.created_at)",
+          "sizes as (select event_ticker, count(*) wanted from canon group by 1)",
+          "complete as (select h.* from held h join sizes using (event_ticker) where n = wanted)"]
+
+
+@query(mk() + "select event_ticker, market_title, created_at, yes_ask, no_ask, liquidity from vm")
+def valid_market_rows(spark, sf_dir):
+    return markets(spark, sf_dir).filter(ingest.valid_market()).select("event_ticker", "market_title", "created_at", "yes_ask", "no_ask", "liquidity")
+
+
+@query(mk(*_CANON) + "select event_ticker, string_agg(market_title, ',' order by market_title) titles from canon group by 1")
+def canonical_markets(spark, sf_dir):
+    rows = ingest.canonical_markets(markets(spark, sf_dir).filter(ingest.valid_market()))
+    return rows.select("event_ticker", F.array_join("titles", ",").alias("titles"))
+
+
+def _complete(spark, sf_dir):
+    rows = markets(spark, sf_dir).filter(ingest.valid_market())
+    return ingest.complete_snapshots(rows, ingest.canonical_markets(rows), "event_id")
+
+
+@query(mk(*_CANON) + "select event_ticker, created_at, n n_markets, yes_sum from complete")
+def complete_snapshots(spark, sf_dir):
+    total = F.aggregate(F.map_values("market_data"), F.lit(0.0), lambda a, x: a + x["yes_ask"])
+    return _complete(spark, sf_dir).select("event_ticker", "created_at", F.size("market_data").cast("long").alias("n_markets"), total.alias("yes_sum"))
+
+
+@query(mk(*_CANON) + "select event_ticker, created_at, row_number() over (partition by event_ticker order by created_at) - 1 round from complete")
+def snapshot_round(spark, sf_dir):
+    return ingest.with_round(_complete(spark, sf_dir)).select("event_ticker", "created_at", F.col("round").cast("long").alias("round"))
+
+
+_TIMES = "times as (select distinct submission_id, event_ticker, snapshot_time, round, title from submissions)"
+
+
+@query(f"with {_TIMES}, p as (select distinct prediction_id, submission_id, forecaster from predictions) select p.prediction_id, p.forecaster, t.event_ticker, t.round, t.snapshot_time from p join times t using (submission_id)")
+def prediction_snapshot_join(spark, sf_dir):
+    predictions = read(spark, sf_dir, "predictions").select("prediction_id", "submission_id", "forecaster").distinct()
+    times = read(spark, sf_dir, "submissions").select("submission_id", "event_ticker", "snapshot_time", "round").distinct()
+    return predictions.join(times, "submission_id").select("prediction_id", "forecaster", "event_ticker", "round", "snapshot_time")
+
+
+@query("select distinct prediction_id, forecaster, event_ticker from predictions where created_at > timestamp '2025-06-01' and created_at < timestamp '2026-01-01' and forecaster like 'agent-%'")
+def prediction_scan(spark, sf_dir):
+    rows = ingest.scan_predictions(read(spark, sf_dir, "predictions"), "2025-06-01 00:00:00", "2026-01-01 00:00:00", True)
+    return rows.select("prediction_id", "forecaster", "event_ticker").distinct()
+
+
+@query()
+def forecasts_from_json(spark, sf_dir):
+    """Predictions and submissions parsed and merged into vectors, with time ranks."""
+    predictions = read(spark, sf_dir, "predictions").dropDuplicates(["prediction_id"])
+    submissions = read(spark, sf_dir, "submissions").dropDuplicates(["submission_id"])
+    rows = ingest.parse_and_merge(predictions, submissions)
+    return metrics.with_brier(rows).select("forecaster", "event_ticker", "submission_id", "round", "time_rank", six("brier_score"))
+
+
+_SRC = "pairs as (select distinct concat('O', cast(l_orderkey as varchar)) submission_id, l_partkey from lineitem), src as (select distinct submission_id, p_name url, p_type summary, p_brand contributor, p_name title from pairs join part on l_partkey = p_partkey)"
+
+
+@query(f"with {_SRC} select submission_id, count(*) n_sources, string_agg(concat_ws('|', url, summary, title), ';' order by url, summary, contributor, title) sources from src group by 1")
+def sources_agg(spark, sf_dir):
+    usage = read(spark, sf_dir, "lineitem").select(F.concat(F.lit("O"), "l_orderkey").alias("submission_id"), F.col("l_partkey").alias("source_id"))
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("source_id"), F.col("p_name").alias("url"), F.col("p_type").alias("summary"), F.col("p_brand").alias("contributor"), F.col("p_name").alias("title"))
+    rows = enrich.without_contributor(enrich.aggregate_sources(usage, parts))
+    return rows.select("submission_id", F.size("sources").cast("long").alias("n_sources"), F.array_join(F.transform("sources", lambda s: F.concat_ws("|", s["url"], s["summary"], s["title"])), ";").alias("sources"))
+
+
+@query(b("p as (select distinct submission_id, forecaster, prediction from predictions where prediction is not null)", "i as (select distinct event_ticker, title, category, rules from event_info)") + "select row_id, coalesce(title, '') title, coalesce(category, '') category, coalesce(rules, '') rules, prediction from b join p using (submission_id, forecaster) left join i using (event_ticker)")
+def enrich_chain(spark, sf_dir):
+    predictions = read(spark, sf_dir, "predictions").select("submission_id", "forecaster", "prediction").distinct()
+    events = read(spark, sf_dir, "event_info").select("event_ticker", "title", "category", "rules").distinct()
+    rows = enrich.with_event_details(enrich.with_predictions(scores(spark, sf_dir), predictions), events)
+    return rows.select("row_id", "title", "category", "rules", "prediction")
+
+
+# --- analysis ----------------------------------------------------------------
+
+
+def _sweep_sql(name: str, rows: str, kept: str, values) -> str:
+    return " union all ".join(f"select '{name}' parameter, {float(v)}::double \"value\", count(*) n_rows, count(distinct event_ticker) n_events from {rows} where {kept.format(float(v))}" for v in values)
+
+
+@query(b(*_Z) + _sweep_sql("min_z", "z", "z_score < -({}::double) and brier_score <= 0.15", analyze.Z_VALUES))
+def sweep_z(spark, sf_dir):
+    return analyze.sweep_z(scores(spark, sf_dir), METRIC, "row_id", min_val=0.15)
+
+
+@query(b(*_AMB, "ar as (select b.* from b join amb_g using (submission_id))") + _sweep_sql("min_val", "ar", "brier_score < {}::double", analyze.AMBIGUOUS_VALUES))
+def sweep_ambiguous(spark, sf_dir):
+    return analyze.sweep_ambiguous(scores(spark, sf_dir), METRIC, "row_id")
+
+
+@query(b(*_Z, *_AMB, _COMBINED, "u as (select distinct forecaster, event_ticker, submission_id, round from tagged)", "n as (select 'z_score' \"filter\", count(*) n_rows from tagged where part = 0 union all select 'ambiguous', count(*) from tagged where part = 1 union all select 'union', count(*) from u)") + "select \"filter\", n_rows, cast(floor(n_rows * 2 * 0.6::double) as bigint) n_traces from n where n_rows > 0")
+def estimate_traces(spark, sf_dir):
+    rows = scores(spark, sf_dir).filter("forecaster is not null")
+    return analyze.estimate_traces(rows, METRIC, "row_id", 2, 0.6, z={"min_z": 1.5, "min_val": 0.15}, amb={"top_k": 3})
+
+
+_COLUMNS = {"event_ticker": "string", "title": "string", "markets": "string", "market_outcome": "string", "category": "string", "close_time": "timestamp_ntz", "rules": "string"}
+
+
+@query(" union all ".join(f"select '{c}' \"column\", '{t}' dtype, count({c}) non_null, count(*) - count({c}) nulls from event_info" for c, t in _COLUMNS.items()))
+def describe_schema(spark, sf_dir):
+    return analyze.describe_schema(read(spark, sf_dir, "event_info"))
+
+
+@query("select concat('code-', cast(json_extract(props, '$.k') as int) % 7) error_type, count(*) n from events where event_type = 'error' group by 1")
+def error_summary(spark, sf_dir):
+    kind = F.when(F.col("event_type") == "error", F.concat(F.lit("code-"), F.get_json_object("props", "$.k").cast("int") % 7))
+    return analyze.error_summary(read(spark, sf_dir, "events").withColumn("error_type", kind))
+
+
+# --- texts -------------------------------------------------------------------
+
+_FIELDS = text.RATIONALE_FIELDS
+
+
+def _replaced(expression: str) -> str:
+    for phrase in text.GIVEAWAYS:
+        expression = f"replace({expression}, '{phrase}', '{text.REPLACEMENT}')"
+    return expression
+
+
+def _injected_sql(f: str) -> str:
+    """Some rows get the phrases, in the same way in both engines."""
+    return f"case when aug_id % 5 = 0 then concat(augmented_rationale.{f}, ' See the original rationale.') when aug_id % 7 = 0 then concat(augmented_rationale.{f}, ' Mind the leakage.') else augmented_rationale.{f} end"
+
+
+_AUG = "a as (select distinct aug_id, " + ", ".join(f"{_injected_sql(f)} {f}" for f in _FIELDS) + ", title from augmented_reasoning where augmented_rationale is not null)"
+_KEPT = "k as (select * from a where not (" + " or ".join(f"coalesce(contains({f}, 'leakage'), false)" for f in _FIELDS) + "))"
+
+
+def _augmented(spark, sf_dir) -> DataFrame:
+    extra = F.when(F.col("aug_id") % 5 == 0, " See the original rationale.").when(F.col("aug_id") % 7 == 0, " Mind the leakage.").otherwise("")
+    struct = F.struct(*(F.concat(F.col(f"augmented_rationale.{f}"), extra).alias(f) for f in _FIELDS))
+    rows = read(spark, sf_dir, "augmented_reasoning").select("aug_id", "title", F.when(F.col("augmented_rationale").isNotNull(), struct).alias("augmented_rationale"))
+    return rows.distinct()
+
+
+@query(f"with {_AUG}, {_KEPT} select aug_id from k")
+def leakage_filter(spark, sf_dir):
+    return text.clean_rationales(_augmented(spark, sf_dir)).select("aug_id")
+
+
+@query(f"with {_AUG}, {_KEPT} select aug_id, " + ", ".join(f"{_replaced(f)} {f}" for f in _FIELDS) + " from k")
+def replace_phrases(spark, sf_dir):
+    return text.clean_rationales(_augmented(spark, sf_dir)).select("aug_id", *(F.col(f"augmented_rationale.{f}").alias(f) for f in _FIELDS))
+
+
+_ANSWER = "concat('<think>\n', concat_ws('\n\n', {}), '\n</think>\n<probabilities>\n', '{{}}', '\n</probabilities>')".format(", ".join(_replaced(f) for f in _FIELDS))
+
+
+@query(f"with {_AUG}, {_KEPT} select aug_id, 3::bigint n_messages, 'assistant' last_role, md5({_ANSWER}) answer from k where " + " and ".join(f"{f} is not null" for f in _FIELDS))
+def sft_messages(spark, sf_dir):
+    rows = text.clean_rationales(_augmented(spark, sf_dir))
+    rows = rows.withColumn("answer", text.assistant_text(F.col("augmented_rationale"), F.lit("{}"))).filter("answer is not null")
+    rows = rows.withColumn("messages", text.chat(F.lit("system text"), F.col("title"), F.col("answer")))
+    last = F.element_at("messages", -1)
+    return rows.select("aug_id", F.size("messages").cast("long").alias("n_messages"), last["role"].alias("last_role"), F.md5(last["content"]).alias("answer"))
+
+
+@query("with i as (select distinct event_ticker, title, rules from event_info) select event_ticker, 2::bigint n_messages, md5(concat('Event: ', title, '\nPossible outcomes: ', 'A, B', '\n\nSources:\n', '', '\n\nGive your reasoning, then your probabilities.')) user_text from i")
+def rl_messages(spark, sf_dir):
+    events = read(spark, sf_dir, "event_info").select("event_ticker", "title", "rules").distinct()
+    prompt = text.user_prompt(F.col("title"), F.lit("A, B"), F.lit(""), F.lit(None).cast("string"))
+    rows = events.withColumn("messages", text.chat(F.lit("system text"), prompt))
+    return rows.select("event_ticker", F.size("messages").cast("long").alias("n_messages"), F.md5(F.col("messages")[1]["content"]).alias("user_text"))
+
+
+@query(f"with {_AUG}, {_KEPT} select aug_id, 2::bigint n_messages, 'user' last_role from k where " + " and ".join(f"{f} is not null" for f in _FIELDS))
+def strip_assistant(spark, sf_dir):
+    rows = text.clean_rationales(_augmented(spark, sf_dir))
+    rows = rows.withColumn("answer", text.assistant_text(F.col("augmented_rationale"), F.lit("{}"))).filter("answer is not null")
+    messages = text.without_assistant(text.chat(F.lit("system text"), F.col("title"), F.col("answer")))
+    return rows.select("aug_id", F.size(messages).cast("long").alias("n_messages"), F.element_at(messages, -1)["role"].alias("last_role"))
+
+
+@query("with o as (select distinct output_id, think, content from model_outputs where think is not null and content is not null) select output_id, regexp_replace(think, '^[ \\t\\n\\r]+|[ \\t\\n\\r]+$', '', 'g') = '' empty_think, md5(trim(content)) content from o")
+def split_thinking(spark, sf_dir):
+    rows = read(spark, sf_dir, "model_outputs").filter("think is not null and content is not null").select("output_id", "think", "content").distinct()
+    thinking, content = text.split_thinking(F.concat(F.lit("<think>"), F.col("think"), F.lit("</think>"), F.col("content")))
+    return rows.select("output_id", (F.trim(F.regexp_replace(thinking, r"[ \t\n\r]+", " ")) == "").alias("empty_think"), F.md5(content).alias("content"))
+
+
+_BLOCK = r"""with o as (select distinct output_id, content from model_outputs where content is not null),
+ x as (select output_id, content, regexp_extract(content, '<probabilities>([^\n]*)</probabilities>', 1) inl from o)
+ select output_id, md5(trim(case when length(inl) > 0 then inl when contains(content, '</probabilities>') then regexp_replace(split_part(content, '</probabilities>', 1), '^.*<probabilities>', '', 's') else content end)) block from x"""
+
+
+@query(_BLOCK)
+def parse_probabilities(spark, sf_dir):
+    rows = read(spark, sf_dir, "model_outputs").filter("content is not null").select("output_id", "content").distinct()
+    return rows.select("output_id", F.md5(text.tagged_probabilities(F.col("content"))).alias("block"))
+
+
+@query()
+def score_model_outputs(spark, sf_dir):
+    """Brier scores of model outputs, null where no probabilities can be read."""
+    rows = read(spark, sf_dir, "model_outputs").dropDuplicates(["output_id"])
+    return score_outputs(rows).select("output_id", "model", "event_ticker", "submission_id", six("brier_score"))
+
+
+@query("with i as (select distinct event_ticker, title from event_info) select event_ticker, md5(concat('Title: ', title, '\nOutcomes: ', 'A, B', '\n\nWrite a title that can be understood without the outcomes.')) prompt from i where title is not null")
+def title_prompts(spark, sf_dir):
+    rows = read(spark, sf_dir, "event_info").filter("title is not null").select("event_ticker", "title").distinct()
+    return rows.select("event_ticker", F.md5(TITLE.column(title=F.col("title"), markets=F.lit("A, B"))).alias("prompt"))
+
+
+@query("select event_ticker, substring(md5(concat(title, rules)), 1, 8) prompt_hash from (select distinct event_ticker, title, rules from event_info where title is not null and rules is not null)")
+def prompt_hashes(spark, sf_dir):
+    rows = read(spark, sf_dir, "event_info").filter("title is not null and rules is not null").select("event_ticker", "title", "rules").distinct()
+    return rows.select("event_ticker", text.prompt_hash(F.col("title"), F.col("rules")).alias("prompt_hash"))
+
+
+def _echo(system: str, user: str) -> dict:
+    """Stands for an external model: answers with a struct, and fails for some prompts."""
+    if len(user) % 17 == 0:
+        raise ValueError("parse error in the answer")
+    return {"source_analysis": user[:20], "market_analysis": user[20:40], "rationale": user[40:80]}
+
+
+@query()
+def llm_title_augment(spark, sf_dir):
+    rows = read(spark, sf_dir, "event_info").filter("title is not null").select("event_ticker", "title").distinct()
+    asked = rows.withColumn("prompt", TITLE.column(title=F.col("title"), markets=F.lit("")))
+    answered = ask(asked, lambda system, user: f'"{user.splitlines()[0][7:]}"', TITLE.system)
+    return answered.select("event_ticker", "title", text.clean_title(F.col("answer")).alias("augmented_title"))
+
 
-QUERIES: dict = {**nested.QUERIES}
-ORACLE: dict = {}
+@query()
+def llm_reason_augment(spark, sf_dir):
+    rows = read(spark, sf_dir, "augmented_reasoning").dropDuplicates(["aug_id"]).select("aug_id", "title", "original_rationale")
+    asked = rows.withColumn("prompt", REASONING.column(event=F.col("title"), sources=F.lit(""), probabilities=F.lit("{}"), rationale=F.col("original_rationale")))
+    answered = ask(asked, _echo, REASONING.system, retries=0)
+    return answered.select("aug_id", F.from_json("answer", "struct<source_analysis: string, market_analysis: string, rationale: string>").alias("augmented_rationale"), "error_type")
