@@ -30,8 +30,9 @@ def tolerant_json(df: DataFrame, column: str, schema: str, into: str) -> DataFra
     Python reader, after a split by a filter, so clean data pays nothing.
     """
     direct = df.withColumn(into, F.from_json(column, schema))
-    fine = direct.filter(F.col(column).isNull() | F.col(into).isNotNull())
-    odd = direct.filter(F.col(column).isNotNull() & F.col(into).isNull())
+    # what can't be read comes back null or, for a struct, without any field
+    unread = F.col(column).isNotNull() & (F.col(into).isNull() | F.coalesce(F.to_json(into) == "{}", F.lit(False)))
+    fine, odd = direct.filter(~unread), direct.filter(unread)
     return fine.unionByName(odd.withColumn(into, F.from_json(_as_plain_json(column), schema)))
 
 
@@ -48,6 +49,11 @@ def told(prediction: Column) -> tuple[Column, Column]:
     return F.coalesce(parsed["rationale"], F.lit("")), F.coalesce(parsed["probabilities"], F.lit(""))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def event_text(title: Column, outcome: Column) -> Column:
     return F.concat(F.lit("Event: "), title, F.lit("\nOutcomes: "), market_list_text(outcome))
 
@@ -76,8 +82,8 @@ def without_assistant(messages: Column) -> Column:
 def split_thinking(text: Column) -> tuple[Column, Column]:
     """(thinking, content) around the closing think tag; without one all is content."""
     end = F.locate("</think>", text)
-    thinking = F.trim(F.regexp_replace(F.substring(text, F.lit(1), end - 1), r"^\s*<think>", ""))
-    return F.when(end > 0, thinking), F.when(end > 0, F.trim(F.substring(text, end + len("</think>"), F.length(text)))).otherwise(F.trim(text))
+    thinking = strip(F.regexp_replace(F.substring(text, F.lit(1), end - 1), r"^\s*<think>", ""))
+    return F.when(end > 0, thinking), F.when(end > 0, strip(F.substring(text, end + len("</think>"), F.length(text)))).otherwise(strip(text))
 
 
 def split_thinking_ids(ids: Column, token: int = THINK_TOKEN) -> tuple[Column, Column]:
@@ -91,13 +97,13 @@ def tagged_probabilities(content: Column) -> Column:
     """The JSON text of a probability block: between the tags on one line, else before the end tag, else all."""
     inline = F.regexp_extract(content, r"<probabilities>(.*)</probabilities>", 1)
     before = F.regexp_replace(F.substring_index(content, "</probabilities>", 1), r"(?s)^.*<probabilities>", "")
-    return F.trim(F.when(F.length(inline) > 0, inline).when(content.contains("</probabilities>"), before).otherwise(content))
+    return strip(F.when(F.length(inline) > 0, inline).when(content.contains("</probabilities>"), before).otherwise(content))
 
 
 def strict_probabilities(content: Column) -> Column:
     """The JSON text after the start tag up to the end tag or the end; null without a start tag."""
     found = F.regexp_extract(content, r"(?s)<probabilities>(.*?)(</probabilities>|$)", 1)
-    return F.when(content.contains("<probabilities>"), F.trim(found))
+    return F.when(content.contains("<probabilities>"), strip(found))
 
 
 def probabilities_of(block: Column) -> Column:

@@ -22,14 +22,14 @@ def brier_of_maps(prediction: Column, outcome: Column, missing: float | None = 0
     """Brier score of two maps over the markets of ``outcome``.
 
     A market that the prediction lacks counts as ``missing``, or makes the
-    score null if that is None. Outcomes other than 0 and 1 or probabilities
+    score null if that is None. A null prediction has no score. Outcomes other than 0 and 1 or probabilities
     outside 0 to 1 give null, as do empty outcomes.
     """
     keys = F.map_keys(outcome)
     p = F.transform(keys, lambda k: F.coalesce(F.try_element_at(prediction, k), F.lit(missing).cast("double")))
     o = F.transform(keys, lambda k: F.element_at(outcome, k))
     valid = F.forall(o, lambda x: x.isin(0.0, 1.0)) & F.forall(p, lambda x: x.between(0.0, 1.0))
-    return F.when(valid & (F.size(keys) > 0), brier(p, o))
+    return F.when(prediction.isNotNull() & valid & (F.size(keys) > 0), brier(p, o))
 
 
 def average_return(prediction: Column, outcome: Column, odds: Column, no_odds: Column, spread: bool = False) -> Column:

@@ -514,7 +514,7 @@ def strip_assistant(spark, sf_dir):
     return rows.select("aug_id", F.size(messages).cast("long").alias("n_messages"), F.element_at(messages, -1)["role"].alias("last_role"))
 
 
-@query("with o as (select distinct output_id, think, content from model_outputs where think is not null and content is not null) select output_id, regexp_replace(think, '^[ \\t\\n\\r]+|[ \\t\\n\\r]+$', '', 'g') = '' empty_think, md5(trim(content)) content from o")
+@query("with o as (select distinct output_id, think, content from model_outputs where think is not null and content is not null) select output_id, regexp_replace(think, '^[ \\t\\n\\r]+|[ \\t\\n\\r]+$', '', 'g') = '' empty_think, md5(regexp_replace(content, '^\\s+|\\s+$', '', 'g')) content from o")
 def split_thinking(spark, sf_dir):
     rows = read(spark, sf_dir, "model_outputs").filter("think is not null and content is not null").select("output_id", "think", "content").distinct()
     thinking, content = text.split_thinking(F.concat(F.lit("<think>"), F.col("think"), F.lit("</think>"), F.col("content")))
@@ -523,7 +523,7 @@ def split_thinking(spark, sf_dir):
 
 _BLOCK = r"""with o as (select distinct output_id, content from model_outputs where content is not null),
  x as (select output_id, content, regexp_extract(content, '<probabilities>([^\n]*)</probabilities>', 1) inl from o)
- select output_id, md5(trim(case when length(inl) > 0 then inl when contains(content, '</probabilities>') then regexp_replace(split_part(content, '</probabilities>', 1), '^.*<probabilities>', '', 's') else content end)) block from x"""
+ select output_id, md5(regexp_replace(case when length(inl) > 0 then inl when contains(content, '</probabilities>') then regexp_replace(split_part(content, '</probabilities>', 1), '^.*<probabilities>', '', 's') else content end, '^\s+|\s+$', '', 'g')) block from x"""
 
 
 @query(_BLOCK)
