@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foreglass.plans.prefix import running_total
 from foreglass.plans.skew import skewed_left_join
-from foreglass.session import cut
+from foreglass.session import written
 
 
 def plain_ticker(ticker: Column) -> Column:
@@ -43,18 +43,18 @@ def contract(edges: DataFrame) -> list[DataFrame]:
     """The collapse map ``(vertex, parent)`` of each round until no edge is left.
 
     In expectation a quarter or more of the vertices that still have an edge
-    vanish in a round. The loop ends by itself: its only driver state is the
-    count of edges.
+    vanish in a round. Each round is written and read again: a checkpoint would
+    carry the plan's constraints along, which grow exponentially here.
     """
-    edges = cut(edges.filter("u is not null and v is not null and u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    edges = written(edges.filter("u is not null and v is not null and u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     maps: list[DataFrame] = []
     turn = 0
     while not edges.isEmpty():
         turn += 1
         both = edges.select("u", "v").union(edges.select("v", "u"))
         chosen = both.filter(_tails("u", turn) & ~_tails("v", turn)).groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("parent"))
-        maps.append(cut(chosen))
-        edges = cut(_relabel(edges, maps[-1]))
+        maps.append(written(chosen))
+        edges = written(_relabel(edges, maps[-1]))
     return maps
 
 
@@ -67,7 +67,7 @@ def unwind(maps: list[DataFrame]) -> DataFrame | None:
             continue
         up = labels.select(F.col("vertex").alias("parent"), "root")
         own = collapsed.join(up, "parent", "left").select("vertex", F.coalesce("root", "parent").alias("root"))
-        labels = cut(own.union(labels))  # else the plan doubles in every round
+        labels = written(own.union(labels))  # else the plan doubles in every round
     return labels
 
 
@@ -89,7 +89,7 @@ def bound_labels(rows: DataFrame, hub: str, spoke: str) -> tuple[DataFrame, Data
     the rows.
     """
     pairs = rows.select(F.col(hub).alias("hub"), F.col(spoke).alias("spoke")).filter("hub is not null and spoke is not null").distinct()
-    pairs = cut(pairs)
+    pairs = written(pairs)
     mates = pairs.groupBy("spoke").agg(F.min("hub").alias("mate"), F.count(F.lit(1)).alias("hubs"))
     links = pairs.join(mates.filter("hubs > 1"), "spoke").filter("hub != mate").select(F.col("mate").alias("u"), F.col("hub").alias("v"))
     roots = components(links)
@@ -121,7 +121,7 @@ def split_together(rows: DataFrame, identifier: str, hub: Column, spoke: Column,
     named = skewed_left_join(named, spokes.select("spoke", F.col("root").alias("spoke_root")), "spoke", ["id"])
     own = F.concat(F.lit("row "), F.col("id").cast("string"))
     alone = F.concat(F.lit("spoke "), F.col("spoke"))
-    named = cut(named.select("id", F.coalesce("hub_root", "hub", "spoke_root", alone, own).alias("component")))
+    named = written(named.select("id", F.coalesce("hub_root", "hub", "spoke_root", alone, own).alias("component")))
     sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("weight")).withColumn("down", -F.col("weight")).withColumn("draw", F.xxhash64(F.lit(seed), "component"))
     ordered = running_total(sizes, ["down", "draw", "component"], "weight")
     total = F.broadcast(sizes.agg(F.sum("weight").alias("total")))
