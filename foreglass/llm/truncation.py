@@ -69,7 +69,8 @@ def significant_lengths(rows: DataFrame, neighbours: int = NEIGHBOURS, rate: flo
     The hazard of a length is the share of the texts at least that long that
     end there. Its count is tested against what the hazards of the
     neighbouring lengths let expect, by the Chernoff bound of the Poisson
-    tail; per source and unit the false-discovery rate is controlled by
+    tail, or what their counts let expect if that is more: hazards rise by
+    themselves where a distribution ends. Per source and unit the false-discovery rate is controlled by
     Benjamini and Hochberg's rule. Rows are counted by length first, so what
     reaches the windows is at most one row for each length.
     """
@@ -80,7 +81,9 @@ def significant_lengths(rows: DataFrame, neighbours: int = NEIGHBOURS, rate: flo
     around = each.orderBy("length").rangeBetween(-neighbours, neighbours)
     hazards = counts.withColumn("risk", F.sum("n").over(longer)).withColumn("hazard", F.col("n") / F.col("risk"))
     near = (F.sum("n").over(around) - F.col("n") + 0.5) / (2 * neighbours * F.avg("risk").over(around))
-    tested = hazards.withColumn("expected", F.col("risk") * near)
+    below = F.sum("n").over(each.orderBy("length").rangeBetween(-neighbours, -1)) / neighbours
+    above = F.sum("n").over(each.orderBy("length").rangeBetween(1, neighbours)) / neighbours
+    tested = hazards.withColumn("expected", F.greatest(F.col("risk") * near, below, above))
     n, e = F.col("n"), F.col("expected")
     tested = tested.withColumn("p", F.when(n > e, F.exp(n - e - n * F.log(n / e))).otherwise(1.0))
     by_p = each.orderBy("p", "length")
