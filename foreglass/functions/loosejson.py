@@ -31,6 +31,14 @@ def read(text: str | None) -> object | None:
     return text
 
 
+def plain(text: str) -> str | None:
+    """The value of a whole JSON text as plain JSON; None where ``read`` gives None and for values JSON does not have."""
+    try:
+        return None if (value := read(text)) is None else json.dumps(value)
+    except (TypeError, ValueError, RecursionError):
+        return None
+
+
 def _once(text: str) -> object | None:
     text = text.lstrip("﻿ \t\r\n")
     try:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -12,6 +14,7 @@ from foreglass.functions import loosejson
 GIVEAWAYS = ("vanilla rationale", "original rationale", "vanilla reasoning", "original reasoning")
 REPLACEMENT = "given context"
 RATIONALE_FIELDS = ("source_analysis", "market_analysis", "rationale")
+PRICE_FIELDS = ("yes_ask", "yes_bid", "no_ask", "no_bid", "liquidity")
 #: Text for an outcome list that can't be read.
 NO_OUTCOME = "No outcome available"
 #: Token that ends the thinking part in lists of token ids.
@@ -20,20 +23,79 @@ THINK_TOKEN = 151668
 
 @F.pandas_udf(StringType())
 def _as_plain_json(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if (v := loosejson.read(t)) is None else loosejson.json.dumps(v, ensure_ascii=False), na_action="ignore")
+    return texts.map(lambda t: loosejson.plain(t) or "", na_action="ignore")
+
+
+# Keeps the optimizer from repeating the reader in filters it pushes down.
+_as_plain_json = _as_plain_json.asNondeterministic()
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def plain_json(text: Column) -> Column:
+    """A whole JSON text in plain notation; null where even the loose notations fail.
+
+    Plain objects and arrays stay in the JVM as they are. Only the other texts
+    go through the Python reader, which sees null in place of the plain ones.
+    """
+    # the strict parser stops after the first value, so more values show only within brackets
+    parsed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).cast("array<variant>")
+    plain = F.coalesce(text.rlike(r"^\s*[{\[]") & (F.size(parsed) == 1), F.lit(False))
+    return F.nullif(F.coalesce(_as_plain_json(F.when(~plain, text)), text), F.lit(""))
 
 
 def tolerant_json(df: DataFrame, column: str, schema: str, into: str) -> DataFrame:
-    """Adds ``into``, the parsed ``column``; null where even the loose notations fail.
+    """Adds ``into``, the parsed ``column``; null where even the loose notations fail."""
+    return df.withColumn(into, F.from_json(plain_json(F.col(column)), schema))
 
-    Plain JSON stays in the JVM. Only the texts it can't read go through the
-    Python reader, after a split by a filter, so clean data pays nothing.
+
+def _by_market(parts: Column, leaves: tuple[str, ...], scalar: str | None = None) -> Column:
+    """Market -> struct of the leaves as text, from plain JSON: an array of objects with a ``market`` field, or an object by market.
+
+    A value of the object that is no object stands for the leaf ``scalar``.
+    Null for other values and where an element names no market.
     """
-    direct = df.withColumn(into, F.from_json(column, schema))
-    # what can't be read comes back null or, for a struct, without any field
-    unread = F.col(column).isNotNull() & (F.col(into).isNull() | F.coalesce(F.to_json(into) == "{}", F.lit(False)))
-    fine, odd = direct.filter(~unread), direct.filter(unread)
-    return fine.unionByName(odd.withColumn(into, F.from_json(_as_plain_json(column), schema)))
+    inner = "struct<" + ", ".join(f"{x}: string" for x in leaves) + ">"
+
+    def of_array(listed: Column) -> Column:
+        entries = F.transform(listed, lambda e: F.struct(e["market"], F.struct(*(e[x].alias(x) for x in leaves))))
+        return F.when(F.forall(listed, lambda e: e["market"].isNotNull()), F.map_from_entries(entries))
+
+    def value(_: Column, v: Column) -> Column:
+        whole = F.when(v.startswith("{"), F.from_json(v, inner))
+        return whole if scalar is None else F.coalesce(whole, F.struct(*((v if x == scalar else F.lit(None).cast("string")).alias(x) for x in leaves)))
+
+    listed = F.from_json(parts, f"array<struct<market: string, {inner[7:-1]}>>")
+    of_object = F.transform_values(F.from_json(parts, "map<string, string>"), value)
+    return F.when(parts.rlike(r"^\s*\["), _let(listed, of_array)).when(parts.rlike(r"^\s*\{"), of_object)
+
+
+def read_prediction(prediction: Column) -> Column:
+    """``(rationale, probabilities)`` of a prediction JSON in any notation, both as text, taken out of an outer ``prediction``."""
+    def inner(parsed: Column) -> Column:
+        return F.when(parsed["prediction"].rlike(r"^[{\[]"), F.from_json(parsed["prediction"], "map<string, string>")).otherwise(parsed)
+
+    parsed = F.from_json(plain_json(prediction), "map<string, string>")
+    return _let(_let(parsed, inner), lambda p: F.struct(p["rationale"].alias("rationale"), p["probabilities"].alias("probabilities")))
+
+
+def read_probabilities(probabilities: Column) -> Column:
+    """Market -> probability of the probabilities of ``read_prediction``, given as array or object; the last of repeated markets counts."""
+    return F.transform_values(_by_market(probabilities, ("probability",), "probability"), lambda _, v: v["probability"].try_cast("double"))
+
+
+def read_prices(market_data: Column) -> Column:
+    """Market -> prices and liquidity of a market JSON in any notation, given as array or object."""
+    by_market = _let(plain_json(market_data), lambda t: _by_market(t, PRICE_FIELDS))
+    return F.transform_values(by_market, lambda _, v: F.struct(*(v[x].try_cast("double").alias(x) for x in PRICE_FIELDS)))
+
+
+def read_outcome(outcome: Column) -> Column:
+    """Market -> outcome of an outcome JSON in any notation."""
+    return F.transform_values(F.from_json(plain_json(outcome), "map<string, string>"), lambda _, v: v.try_cast("double"))
 
 
 def market_list_text(markets: Column) -> Column:
@@ -44,8 +106,8 @@ def market_list_text(markets: Column) -> Column:
 
 
 def told(prediction: Column) -> tuple[Column, Column]:
-    """Rationale and probabilities of a prediction JSON as text, '' where missing."""
-    parsed = F.from_json(prediction, "struct<rationale: string, probabilities: string>")
+    """Rationale and probabilities of a prediction JSON in any notation as text, '' where missing."""
+    parsed = read_prediction(prediction)
     return F.coalesce(parsed["rationale"], F.lit("")), F.coalesce(parsed["probabilities"], F.lit(""))
 
 

@@ -15,11 +15,6 @@ def price_vector(market_data: Column, side: str) -> Column:
     return F.transform(F.array_sort(F.map_entries(F.transform_values(market_data, lambda _, v: v[side]))), lambda e: e["value"] / 100.0)
 
 
-def probability_map(probabilities: Column) -> Column:
-    """Market -> probability from an array of structs; the last of repeated markets counts."""
-    return F.map_from_entries(F.transform(probabilities, lambda p: F.struct(p["market"], p["probability"].cast("double"))))
-
-
 def market_view(odds: Column, no_odds: Column, both_sides: bool) -> Column:
     """What the market predicts: the yes price, or the mean of it and of one minus the no price."""
     return F.zip_with(odds, no_odds, lambda y, n: (y + (1.0 - n)) / 2) if both_sides else odds

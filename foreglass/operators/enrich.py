@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from foreglass.operators.ingest import PRICES
+from foreglass.functions import text
 
 SOURCE_FIELDS = ("url", "summary", "contributor", "title")
 
@@ -49,8 +49,8 @@ def with_event_details(df: DataFrame, events: DataFrame, categories: list[str] |
 
 
 def with_market_data(df: DataFrame, submissions: DataFrame) -> DataFrame:
-    """Adds outcome and market data of the submission, parsed; each row of a repeated submission comes out."""
-    parsed = submissions.select("submission_id", F.from_json("market_outcome", "map<string, double>").alias("market_outcome"), F.from_json("market_data", PRICES).alias("market_data"))
+    """Adds outcome and market data of the submission, parsed from any notation; each row of a repeated submission comes out."""
+    parsed = submissions.select("submission_id", text.read_outcome(F.col("market_outcome")).alias("market_outcome"), text.read_prices(F.col("market_data")).alias("market_data"))
     return df.join(parsed, "submission_id", "left")
 
 

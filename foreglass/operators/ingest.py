@@ -6,14 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foreglass.functions.vectors import price_vector, probability_map, same_length, sorted_values
+from foreglass.functions import text
+from foreglass.functions.vectors import price_vector, same_length, sorted_values
 from foreglass.operators.weights import WeightFunction, uniform, with_time_rank
 
 #: Least liquidity of a usable market row.
 MIN_LIQUIDITY = 100
-PREDICTION = "struct<rationale: string, probabilities: array<struct<market: string, probability: double>>>"
-PRICES = "map<string, struct<yes_ask: double, yes_bid: double, no_ask: double, no_bid: double, liquidity: double>>"
-OUTCOME = "map<string, double>"
 
 
 def time_window(column: str, after: str | datetime | None, before: str | datetime | None) -> Column:
@@ -95,11 +93,13 @@ def parse_and_merge(predictions: DataFrame, submissions: DataFrame, weight: Weig
     """Forecast rows with vectors ordered by market name, ``time_rank`` and ``weight``.
 
     Rows whose three vectors differ in length are dropped; only lengths are
-    compared, not names. Unreadable JSON gives null vectors and so no row.
+    compared, not names. JSON counts in any notation that ``text.plain_json``
+    reads; unreadable JSON gives null vectors and so no row.
     """
-    told = F.from_json("prediction", PREDICTION)
-    left = predictions.select("forecaster", "submission_id", *on, told.alias("told")).select("forecaster", "submission_id", *on, sorted_values(probability_map(F.col("told.probabilities"))).alias("prediction"), F.col("told.rationale").alias("rationale"))
-    prices = F.from_json("market_data", PRICES)
-    right = submissions.select(*on, "snapshot_time", "close_time", price_vector(prices, "yes_ask").alias("odds"), price_vector(prices, "no_ask").alias("no_odds"), sorted_values(F.from_json("market_outcome", OUTCOME)).alias("market_outcome"))
+    told = text.read_prediction(F.col("prediction"))
+    read = predictions.select("forecaster", "submission_id", *on, told.alias("told"))
+    left = read.select("forecaster", "submission_id", *on, sorted_values(text.read_probabilities(F.col("told.probabilities"))).alias("prediction"), F.col("told.rationale").alias("rationale"))
+    read = submissions.select(*on, "snapshot_time", "close_time", text.read_prices(F.col("market_data")).alias("prices"), text.read_outcome(F.col("market_outcome")).alias("outcome"))
+    right = read.select(*on, "snapshot_time", "close_time", price_vector(F.col("prices"), "yes_ask").alias("odds"), price_vector(F.col("prices"), "no_ask").alias("no_odds"), sorted_values(F.col("outcome")).alias("market_outcome"))
     rows = left.join(right, list(on)).filter(same_length(F.col("prediction"), F.col("odds"), F.col("market_outcome")))
     return weight(with_time_rank(rows))
