@@ -140,6 +140,16 @@ def _overlap_begin(ruler: Ruler, previous: int, start: int, overlap: int) -> int
     return max(previous, int(ruler.place[first + natural[0] if len(natural) else first]))
 
 
+def split_block(texts: list[str], encoder: Encoder, limit: int = 512, overlap: int = 64) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
+    """``(place in the block, number, piece)`` of the texts over ``limit`` tokens, pieces as in ``split_text``."""
+    encoder.forget()  # only here: the words of the whole block are looked up until its end
+    split = encoder.words(texts)
+    for i, (text, words) in enumerate(zip(texts, split, strict=True)):
+        if sum(len(encoder.known[w]) for w in words) > limit:
+            for number, piece in enumerate(split_text(text, encoder, limit, overlap, words)):
+                yield i, number, piece
+
+
 def pieces(df: DataFrame, identifier: str, text: str, limit: int = 512, overlap: int = 64, path: str = VOCABULARY) -> DataFrame:
     """``(identifier, piece, begin, core, end, tokens, text)`` of every text over ``limit`` tokens, numbered from 0.
 
@@ -161,14 +171,10 @@ def pieces(df: DataFrame, identifier: str, text: str, limit: int = 512, overlap:
         encoder = Encoder(Merges(*merges.value))
         for block in blocks(batches):
             texts = block.column("text").to_pylist()
-            split = encoder.words(texts)
-            sizes = [sum(len(encoder.known[w]) for w in words) for words in split]
             source, out = [], []
-            for i, (t, size) in enumerate(zip(texts, sizes, strict=True)):
-                if size > limit:
-                    for number, piece in enumerate(split_text(t, encoder, limit, overlap, split[i])):
-                        source.append(i)
-                        out.append((number, *piece, t[piece[0]:piece[2]]))
+            for i, number, piece in split_block(texts, encoder, limit, overlap):
+                source.append(i)
+                out.append((number, *piece, texts[i][piece[0]:piece[2]]))
             if source:
                 numbers = [pa.array([o[k] for o in out], pa.int32()) for k in range(5)]
                 yield pa.RecordBatch.from_arrays([block.column("id").take(pa.array(np.array(source))), *numbers, pa.array([o[5] for o in out], pa.string())], names=["id", "piece", "begin", "core", "end", "tokens", "text"])

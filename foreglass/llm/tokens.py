@@ -24,7 +24,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Default place of the vocabulary file, read on the driver only.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
-#: Characters of text whose words are replayed together, and words whose ids a task remembers.
+#: Characters of text whose words are replayed together, and words whose ids a task remembers from block to block.
 BLOCK_CHARS = 2_000_000
 REMEMBERED_WORDS = 400_000
 
@@ -110,7 +110,11 @@ def replay(words: list[str], merges: Merges) -> list[tuple[int, ...]]:
 
 
 class Encoder:
-    """Splits texts into words and remembers the ids of words already replayed."""
+    """Splits texts into words and remembers the ids of words already replayed.
+
+    Words stay known until ``forget``, which belongs between blocks only: what
+    ``words`` returned may be looked up in ``known`` until then.
+    """
 
     def __init__(self, merges: Merges):
         self.merges, self.known, self.split = merges, {}, regex.compile(PATTERN).findall
@@ -118,12 +122,15 @@ class Encoder:
     def words(self, texts: Iterable[str]) -> list[list[str]]:
         split = [self.split(t) for t in texts]
         known = self.known
-        if len(known) > REMEMBERED_WORDS:
-            known.clear()
         if new := list({w for words in split for w in words if w not in known}):
             known.update(zip(new, replay(new, self.merges), strict=True))
         return split
 
+    def forget(self) -> None:
+        """Drop the remembered words if there are too many."""
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known.clear()
+
     def ids(self, texts: list[str]) -> list[list[int]]:
         known = self.known
         return [[i for w in words for i in known[w]] for words in self.words(texts)]
@@ -164,6 +171,7 @@ def encode(df: DataFrame, identifier: str, text: str, path: str = VOCABULARY) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Merges(*merges.value))
         for block in blocks(batches):
+            encoder.forget()
             rows = encoder.ids([t or "" for t in block.column("text").to_pylist()])
             offsets = np.zeros(len(rows) + 1, np.int32)
             np.cumsum([len(r) for r in rows], out=offsets[1:])
