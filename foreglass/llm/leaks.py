@@ -2,8 +2,9 @@
 
 Method: latent semantic retrieval. A randomised SVD of the TF-IDF passages of
 corpus and items gives a latent space; passages of the corpus whose cosine to
-a passage of an item is high are candidates; a word alignment (longest common
-subsequence with a bound on errors) settles each of them.
+a passage of an item is high are candidates, and so are passages that share
+runs of words with an item, which no leak is without; a word alignment (longest
+common subsequence with a bound on errors) settles each of them.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -262,6 +264,9 @@ class Searcher:
         self.vectors = np.concatenate(vectors).T if vectors else np.zeros((basis.shape[1], 0), np.float32)
         self.owner = np.array(self.owner, np.int64)
         self.runs = [np.unique(_runs(w)) for w in items.words]
+        every = np.concatenate([np.zeros(0, np.int64), *self.runs])
+        order = np.argsort(every, kind="stable")
+        self.every_run, self.run_owner = every[order], np.repeat(np.arange(len(self.runs)), [len(r) for r in self.runs])[order]
 
     def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
         """``(text, item, begins of the passages)`` with a cosine from ``cosine`` on."""
@@ -293,6 +298,34 @@ class Searcher:
                 if len(group):
                     yield int(group[0, 0]), int(group[0, 1]), group[:, 2]
 
+    def shared_runs(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """``(text, item, begins of runs)`` where two runs of five item words stand near each other.
+
+        Every leak has them, whatever its cosine: 11 of 12 words in two
+        unchanged parts hold three runs, 14 of 16 words in three parts two.
+        """
+        if not texts:
+            return
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        hashes = _runs(np.concatenate([x for t in texts for x in (t, np.zeros(1, t.dtype))]))
+        first = np.searchsorted(self.every_run, hashes, "left")
+        n = np.where(hashes != 0, np.searchsorted(self.every_run, hashes, "right") - first, 0)
+        at = np.repeat(np.arange(len(hashes)), n)
+        if not len(at):
+            return
+        item = self.run_owner[np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(at))]
+        source = np.searchsorted(starts, at, "right") - 1
+        order = np.lexsort((at, item, source))
+        source, item, at = source[order], item[order], at[order]
+        other = (np.diff(source) != 0) | (np.diff(item) != 0)
+        near = ~other & (np.diff(at) <= 2 * LEAST_WORDS)
+        use = np.append(near, False) | np.append(False, near)
+        source, item, at = source[use], item[use], at[use]
+        cuts = np.flatnonzero((np.diff(source) != 0) | (np.diff(item) != 0)) + 1
+        for group in np.split(np.arange(len(at)), cuts):
+            if len(group):
+                yield int(source[group[0]]), int(item[group[0]]), at[group] - starts[source[group[0]]]
+
     def confirmed(self, text: np.ndarray, item: int, begins: np.ndarray) -> bool:
         """True if the item stands in the text around one of the passages."""
         words = self.items.words[item]
@@ -309,7 +342,7 @@ class Searcher:
     def search(self, texts: list[np.ndarray]) -> list[tuple[int, int]]:
         """``(text, item)`` of every leak."""
         found = set()
-        for text, item, begins in self.candidates(texts):
+        for text, item, begins in chain(self.candidates(texts), self.shared_runs(texts)):
             if (text, item) not in found and self.confirmed(texts[text], item, begins):
                 found.add((text, item))
         return sorted(found)
