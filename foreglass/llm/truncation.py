@@ -15,6 +15,8 @@ from foreglass.session import cut
 NEIGHBOURS = 20
 #: False-discovery rate of the significant lengths.
 RATE = 0.01
+#: Share of finished numbers after a word below which a number that ends a text after it is a cut decimal.
+RARE = 0.05
 
 COMPLETE, INCOMPLETE, DOUBTFUL = 0, 1, 2
 
@@ -63,6 +65,20 @@ def measured(df: DataFrame, identifier: str, source: str, text: str, outcomes: s
     return rows.filter("id is not null").dropDuplicates(["id"])
 
 
+def number_words(df: DataFrame, identifier: str, source: str, text: str) -> DataFrame:
+    """``(source, word, decimals, finished)``: how often a word stands before a decimal and before a number that ends a sentence, inside the texts of a source."""
+    number = r"(?<!\S)(\S+)(?=[^\S\n]+\S*?(?<![\d.,\-/:])\d+\."
+
+    def before(after: str, decimal: int) -> Column:
+        found = F.regexp_extract_all(text, F.lit(number + after), 1)
+        return F.transform(found, lambda w: F.struct(w.alias("word"), F.lit(decimal).alias("decimal")))
+
+    both = F.concat(before(r"\d)", 1), before(r"\s+\S)", 0))
+    rows = df.select(F.col(identifier).alias("id"), F.coalesce(F.col(source), F.lit("")).alias("source"), both.alias("words")).filter("id is not null").dropDuplicates(["id"])
+    words = rows.select("source", F.explode("words").alias("w")).select("source", "w.word", "w.decimal")
+    return words.groupBy("source", "word").agg(F.sum("decimal").alias("decimals"), F.sum(1 - F.col("decimal")).alias("finished"))
+
+
 def significant_lengths(rows: DataFrame, neighbours: int = NEIGHBOURS, rate: float = RATE) -> DataFrame:
     """``(source, unit, length, n, hazard, expected, p)``: lengths at which far more texts end than at the lengths around.
 
@@ -95,10 +111,12 @@ def significant_lengths(rows: DataFrame, neighbours: int = NEIGHBOURS, rate: flo
 def truncated(df: DataFrame, identifier: str, source: str, text: str, outcomes: str) -> tuple[DataFrame, DataFrame]:
     """``(rows, lengths)``: each identifier with ``source`` and ``truncated``; the significant lengths.
 
-    A text is truncated if its end is incomplete. A doubtful end counts as
-    incomplete at a significant length of its source, unless other texts that
-    end elsewhere show the same word before a last number. Null and blank
-    texts are not truncated; identifiers count once; null identifiers are left
+    A text is truncated if its end is incomplete. Doubtful ends are judged by
+    the word before the number, as it stands inside the texts of the same
+    source: at a significant length they count as incomplete unless the word
+    precedes finished numbers at least as often as decimals, elsewhere only if
+    it almost never precedes finished ones (a smoothed share below ``RARE``).
+    Null and blank texts are not truncated; identifiers count once; null identifiers are left
     out; a null source is the source ''.
     """
     rows = cut(measured(df, identifier, source, text, outcomes))
@@ -108,8 +126,10 @@ def truncated(df: DataFrame, identifier: str, source: str, text: str, outcomes:
     by_bytes = at.filter("bytes").select("source", F.col("length").alias("bytes"), F.lit(True).alias("limit_bytes"))
     doubtful = rows.filter(F.col("ending") == DOUBTFUL).join(by_chars, ["source", "chars"], "left").join(by_bytes, ["source", "bytes"], "left")
     doubtful = doubtful.withColumn("at_limit", F.coalesce("limit_chars", "limit_bytes", F.lit(False)))
-    usual = doubtful.filter("not at_limit").select("word").distinct()
-    broken = doubtful.filter("at_limit").join(usual, "word", "left_anti").select("id", F.lit(True).alias("broken"))
+    judged = doubtful.join(number_words(df, identifier, source, text), ["source", "word"], "left").fillna(0, ["decimals", "finished"])
+    usual = (F.col("finished") > 0) & (F.col("finished") >= F.col("decimals"))
+    rare = (F.col("finished") + 1) / (F.col("finished") + F.col("decimals") + 2) < RARE
+    broken = judged.filter(F.when(F.col("at_limit"), ~usual).otherwise(rare)).select("id", F.lit(True).alias("broken"))
     flag = (F.col("ending") == INCOMPLETE) | F.coalesce("broken", F.lit(False))
     return rows.join(broken, "id", "left").select("id", "source", flag.alias("truncated")).withColumnRenamed("id", identifier), lengths
 
