@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Share of a copy's words that stand in the prompt in the same order.
 COPY_SHARE = 0.85
-#: A response shorter than this is a copy only if it equals a whole prompt text.
-COPY_WORDS = 5
 
 # Contents that stand for no content.
 PLACEHOLDERS = frozenset(["", "n a", "na", "none", "null", "nil", "nan", "tbd", "todo", "to do", "to be determined", "to be added", "no content", "not available", "not applicable", "no answer", "no response", "empty", "unknown", "undefined", "pending", "placeholder", "content here", "insert text here", "coming soon", "lorem ipsum"])
@@ -104,8 +102,6 @@ def is_copy(answer: list[str], prompt: list[str]) -> bool:
     """True if enough words of the answer stand in the prompt in the same order."""
     if not answer or not prompt:
         return False
-    if len(answer) < COPY_WORDS:
-        return answer == prompt
     # Containment of one-word shingles bounds the common subsequence from above.
     shared = sum((Counter(answer) & Counter(prompt)).values())
     return shared >= COPY_SHARE * len(answer) and lcs_length(answer, prompt) >= COPY_SHARE * len(answer)
