@@ -15,10 +15,10 @@ from foreglass.session import cut, partitions
 def range_sorted(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` sorted by ``order`` over all partitions, cut, with the partition's number as ``__part``.
 
-    Equal keys always land in one partition. Key columns must not be NaN.
+    Equal keys always land in one partition. Key columns must not be NaN. The
+    number of partitions follows the size of the input.
     """
-    n = partitions(df.sparkSession)
-    df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    df = df.repartitionByRange(partitions(df), *order).sortWithinPartitions(*order)
     return cut(df.withColumn("__part", F.spark_partition_id()))
 
 

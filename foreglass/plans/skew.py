@@ -1,29 +1,26 @@
-"""Salting of hot keys, with a proven bound on how many keys can be hot."""
+"""Salting of hot keys: a fixed number of rows for each salt, and a fixed bound on what is broadcast."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: A key is hot from this many rows on ...
-HOT_ROWS = 20_000
-#: ... and from this share of all rows on, so that at most 1 / HOT_SHARE keys are hot.
-HOT_SHARE = 1e-4
+#: A key is hot from this many rows on; each of its salts gets about so many.
+HOT_ROWS = 100_000
+#: Hot keys that are salted at most, the largest ones: the bound of the broadcast.
+MOST_HOT_KEYS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
-    """``(key, salts)`` of the keys with more rows than a task should hold.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = MOST_HOT_KEYS) -> DataFrame:
+    """``(key, salts)`` of the keys with more than ``hot_rows`` rows, one salt for each ``hot_rows`` rows.
 
-    Counts are combined before the shuffle. As a hot key has at least
-    ``hot_share`` of all rows, the result has at most ``1 / hot_share`` rows
-    (10,000 by default) and may be broadcast.
+    Counts are combined before the shuffle. The result has at most ``most``
+    rows, whatever the data, and may be broadcast: each task keeps its largest
+    ``most`` before they meet. A key beyond them holds less than one part in
+    ``most`` of all rows and is left to the adaptive skew join, which splits by
+    bytes.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__total"))
-    limit = F.greatest(F.lit(hot_rows).cast("double"), F.col("__total") * hot_share)
-    return (
-        counts.filter(F.col("__n") > hot_rows).join(F.broadcast(total), F.col("__n") > limit)
-        .select(key, F.ceil(F.col("__n") / limit).cast("int").alias("salts"))
-    )
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    return counts.orderBy(F.desc("__n"), key).limit(most).select(key, F.ceil(F.col("__n") / hot_rows).cast("int").alias("salts"))
 
 
 def salted(df: DataFrame, key: str, spread: list[str], hot: DataFrame, salt: str = "salt") -> DataFrame:
