@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foreglass.llm.cutoff import cutoffs
+from foreglass.llm.cutoff import cutoffs, select_ranks, sorted_arrays
+from foreglass.llm.queries import scored
 from foreglass.llm.raking import RakedSample, rake, repaired_quotas
 from foreglass.llm.splits import bound_labels, bound_pairs, components, plain_hex, plain_ticker, split_together
 from foreglass.llm.topn import top_n
@@ -41,14 +42,15 @@ def test_top_n_of_nothing(spark):
     assert top_n(spark.createDataFrame([], SCORED), "g", ["s", "i"], 3).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10, 300, 20_000])
-def test_cutoffs_against_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("array_rows", [10, 300, 50_000])
+def test_cutoffs_against_brute_force(spark, array_rows):
     rows = scored_rows(3000, 1) + [("g1", float("nan"), "a", -1, ""), ("g1", None, "a", -2, "")]
+    rows += [("low", float("-inf") if i % 2 else 0.5, "a", 10_000 + i, "") for i in range(120)] + [("high", float("inf"), "a", 20_000 + i, "") for i in range(90)]
     groups = defaultdict(dict)
     for g, s, _, i, _ in rows:
         if g is not None and s is not None and s == s:
             groups[g][i] = s
-    report, kept = cutoffs(spark.createDataFrame(rows, SCORED), "g", "s", "i", (1, 5), hot_rows)
+    report, kept = cutoffs(spark.createDataFrame(rows, SCORED), "g", "s", "i", (1, 5), array_rows)
     found = {r.source: (r.cutoff, r.n_scored, r.n_kept) for r in report.collect()}
     ids = {(r.source, r.id) for r in kept.collect()}
     expected, expected_ids = {}, set()
@@ -64,10 +66,33 @@ def test_cutoffs_of_nothing_and_of_one_score(spark):
     report, kept = cutoffs(spark.createDataFrame([], SCORED), "g", "s", "i", (1, 5))
     assert report.count() == kept.count() == 0
     same = spark.createDataFrame([("g", 0.5, "a", i, "") for i in range(500)], SCORED)
-    report, kept = cutoffs(same, "g", "s", "i", (1, 5), hot_rows=50)
+    report, kept = cutoffs(same, "g", "s", "i", (1, 5), array_rows=50)
     assert report.collect()[0].n_kept == 500 == kept.count()
 
 
+def test_every_source_is_found_by_rounds_over_bounded_arrays(spark):
+    rng = random.Random(5)
+    rows = [("hot", rng.random(), None, i, "") for i in range(5000)] + [(f"g{i % 40}", rng.random(), None, 10_000 + i, "") for i in range(400)]
+    arrays = sorted_arrays(spark.createDataFrame(rows, SCORED), "g", "s", "i", 100).cache()
+    assert arrays.agg(F.max(F.size("scores"))).first()[0] <= 100
+    assert arrays.filter("source = 'hot'").count() >= 50
+    wanted = arrays.groupBy("source").agg(F.sum(F.size("scores")).alias("n")).withColumn("k", F.greatest(F.lit(1), F.expr("n div 5")))
+    found, rounds = select_ranks(arrays, wanted)
+    by_source = defaultdict(list)
+    for g, s, *_ in rows:
+        by_source[g].append(s)
+    assert {r.source: r.cutoff for r in found.collect()} == {g: sorted(v)[max(1, len(v) // 5) - 1] for g, v in by_source.items()}
+    assert 1 < rounds < 12
+
+
+def test_rounds_on_the_smallest_tables(spark):
+    rows = scored(spark, "/root/testdata/sf0.001")
+    arrays = sorted_arrays(rows, "submission_id", "brier_score", "score_id").cache()
+    wanted = arrays.groupBy("source").agg(F.sum(F.size("scores")).alias("n")).withColumn("k", F.greatest(F.lit(1), F.expr("n div 5")))
+    found, rounds = select_ranks(arrays, wanted)
+    assert rounds > 0 and found.count() == rows.select("submission_id").distinct().count()
+
+
 def union_find(rows):
     parent = {}
 
