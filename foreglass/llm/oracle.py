@@ -10,8 +10,20 @@ _RECORDS = f"""records as (select distinct event_ticker, submission_id, lower({_
  supply as (select name, sum(least(n, 5)) available from (select name, event_ticker, count(*) n from records group by all) group by name),
  needs as (select category, target_share, min_rows, greatest(min_rows, cast(floor(target_share * sample_size + 0.5 + 1e-9) as bigint)) wanted, coalesce(available, 0) available from category_targets left join supply on lower(category) = name)"""
 
+_QUOTAS = f"""{_RECORDS},
+ scarce as (select category, name_of name, wanted / available scarcity from (select *, lower(category) name_of from needs) where available > 0),
+ one as (select event_ticker, submission_id, category, scarcity from records join scarce using (name) qualify row_number() over (partition by event_ticker, submission_id order by scarcity desc, category desc) = 1),
+ own as (select *, row_number() over (partition by event_ticker, category order by md5('42|' || event_ticker || '|' || submission_id), submission_id) turn from one),
+ pool as (select * from own qualify row_number() over (partition by event_ticker order by scarcity < 1, turn, scarcity desc, category) <= 5),
+ have as (select category, count(*) n from pool group by 1),
+ size as (select max(sample_size) k from category_targets),
+ slots as (select category, j, case when j <= least(n, min_rows) then 0.0::double else (j - 0.5::double) / target_share end priority from have join category_targets using (category), unnest(generate_series(1, n)) s(j) where j <= least(n, min_rows) or target_share > 0),
+ quotas as (select category, count(*) drawn from (select category, row_number() over (order by priority, category, j) place from slots) where place <= (select k from size) group by 1)"""
+
 ORACLE = {
     "p1_found": f"with {_RECORDS} select category from needs where available < wanted",
+    "p1_report": f"""with {_QUOTAS}
+ select category, target_share, min_rows, wanted, available, greatest(0, wanted - available) short, coalesce(drawn, 0) drawn, coalesce(drawn, 0) / (select sum(drawn) from quotas) drawn_share, target_share - coalesce(drawn, 0) / (select sum(drawn) from quotas) gap from needs left join quotas using (category)""",
     "p2_found": f"""with recursive pairs as (select distinct upper({_TRIM.format('event_ticker')}) e, regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g') s from predictions where event_ticker is not null and submission_id is not null),
  kept as (select * from pairs where e <> '' and regexp_matches(s, '[1-9a-f]')),
  links as (select distinct a.e a, b.e b from kept a join kept b on a.s = b.s and a.e <> b.e),

@@ -27,14 +27,19 @@ def _raked(spark: SparkSession, sf_dir: str) -> RakedSample:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Categories that have fewer records than their target asks for."""
-    return _raked(spark, sf_dir).report().filter("short > 0").select("category")
+    return _raked(spark, sf_dir).shortfalls().filter("short > 0").select("category")
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target, supply and drawn rows of each category."""
+    """Target, supply and drawn rows of each category, and the gaps left."""
     return _raked(spark, sf_dir).report()
 
 
+def p1_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target share and drawn rows of each round, the second margin, and the gaps left."""
+    return _raked(spark, sf_dir).margin_report().withColumnRenamed("margin", "round")
+
+
 def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drawn records."""
     return _raked(spark, sf_dir).rows.select(F.col("event").alias("event_ticker"), F.col("record").alias("submission_id"), "category")
@@ -70,7 +75,7 @@ def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lengths at which a model's outputs end far too often."""
+    """Lengths at which a model's outputs end far too often, and bands of lengths in which they break off."""
     return _truncated(spark, sf_dir)[1].withColumnRenamed("source", "model")
 
 
@@ -125,6 +130,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_report": p1_report,
+    "p1_margins": p1_margins,
     "p1_sample": p1_sample,
     "p2_found": p2_found,
     "p2_splits": p2_splits,

@@ -1,8 +1,10 @@
 """Problem 3: texts cut off by field limits or in transfer.
 
 Method: discrete length hazards of each source by window functions, tested
-against the neighbouring hazards under false-discovery control; incomplete
-endings are flagged, doubtful ones at significant lengths.
+against the neighbouring hazards under false-discovery control. Field limits
+show as single lengths, broken transfers as a hazard of incomplete endings over
+whole bands of lengths; incomplete endings are flagged with the hazard they
+come from, doubtful ones by the hazard of their length.
 """
 
 from __future__ import annotations
@@ -18,6 +20,11 @@ RATE = 0.01
 #: Share of finished numbers after a word below which a number that ends a text after it is a cut decimal.
 RARE = 0.05
 
+#: Share of finished texts whose ending may look incomplete: what the hazard of broken transfers is tested against.
+FALSE_ALARMS = 0.001
+#: So many of them are expected in any band, however few its texts are.
+LEAST_EXPECTED = 0.1
+
 COMPLETE, INCOMPLETE, DOUBTFUL = 0, 1, 2
 
 
@@ -62,7 +69,8 @@ def measured(df: DataFrame, identifier: str, source: str, text: str, outcomes: s
     """One row for each identifier: source, length in characters and bytes, kind of ending, and the word before a last number."""
     word = F.regexp_extract(text, r"(\S+)\s+\S*\d+\.\s*$", 1)
     rows = df.select(F.col(identifier).alias("id"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), ending(F.col(text), F.col(outcomes)).alias("ending"), F.when(F.col(text).rlike(r"\d\.\s*$"), word).alias("word"))
-    return rows.filter("id is not null").dropDuplicates(["id"])
+    kept = F.struct("source", "chars", "bytes", "ending", "word")
+    return rows.filter("id is not null").groupBy("id").agg(F.min(kept).alias("r")).select("id", "r.*")
 
 
 def number_words(df: DataFrame, identifier: str, source: str, text: str) -> DataFrame:
@@ -74,8 +82,9 @@ def number_words(df: DataFrame, identifier: str, source: str, text: str) -> Data
         return F.transform(found, lambda w: F.struct(w.alias("word"), F.lit(decimal).alias("decimal")))
 
     both = F.concat(before(r"\d)", 1), before(r"\s+\S)", 0))
-    rows = df.select(F.col(identifier).alias("id"), F.coalesce(F.col(source), F.lit("")).alias("source"), both.alias("words")).filter("id is not null").dropDuplicates(["id"])
-    words = rows.select("source", F.explode("words").alias("w")).select("source", "w.word", "w.decimal")
+    rows = df.select(F.col(identifier).alias("id"), F.coalesce(F.col(source), F.lit("")).alias("source"), both.alias("words")).filter("id is not null")
+    one = rows.groupBy("id").agg(F.min(F.struct("source", "words")).alias("r"))
+    words = one.select("r.source", F.explode("r.words").alias("w")).select("source", "w.word", "w.decimal")
     return words.groupBy("source", "word").agg(F.sum("decimal").alias("decimals"), F.sum(1 - F.col("decimal")).alias("finished"))
 
 
@@ -100,41 +109,81 @@ def significant_lengths(rows: DataFrame, neighbours: int = NEIGHBOURS, rate: flo
     below = F.sum("n").over(each.orderBy("length").rangeBetween(-neighbours, -1)) / neighbours
     above = F.sum("n").over(each.orderBy("length").rangeBetween(1, neighbours)) / neighbours
     tested = hazards.withColumn("expected", F.greatest(F.col("risk") * near, below, above))
+    return _significant(tested, rate).select("source", "unit", "length", "n", "hazard", "expected", "p")
+
+
+def _significant(tested: DataFrame, rate: float) -> DataFrame:
+    """Rows with more texts ``n`` than ``expected``, by Chernoff's bound, with the false-discovery rate controlled per source and unit."""
+    each = Window.partitionBy("source", "unit")
     n, e = F.col("n"), F.col("expected")
     tested = tested.withColumn("p", F.when(n > e, F.exp(n - e - n * F.log(n / e))).otherwise(1.0))
-    by_p = each.orderBy("p", "length")
-    ranked = tested.withColumn("pass", F.col("p") <= rate * F.row_number().over(by_p) / F.count(F.lit(1)).over(each))
+    ranked = tested.withColumn("pass", F.col("p") <= rate * F.row_number().over(each.orderBy("p", "length")) / F.count(F.lit(1)).over(each))
     limited = ranked.withColumn("limit", F.max(F.when(F.col("pass"), F.col("p"))).over(each))
-    return limited.filter("p <= limit").select("source", "unit", "length", "n", "hazard", "expected", "p")
+    return limited.filter("p <= limit")
+
+
+def _band(chars: Column) -> Column:
+    """The lower end of the band of lengths, each twice as long as the one before."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(chars.cast("double")))).cast("int")
+
+
+def transfer_hazards(rows: DataFrame, alarms: float = FALSE_ALARMS, rate: float = RATE) -> DataFrame:
+    """``(source, unit, length, n, hazard, expected, p)`` of the bands of lengths, from ``length`` on, in which texts break off.
+
+    A transfer breaks at any length, so the hazard is that of an incomplete
+    ending at no significant length, over a band: the share of the texts at
+    least that long that break off within it. Its count is tested against the
+    incomplete endings that finished texts of the band may seem to have, at least
+    ``LEAST_EXPECTED``. At most some dozens of bands reach the windows for each source.
+    """
+    broken = (F.col("ending") == INCOMPLETE) & ~F.col("at_limit")
+    bands = rows.filter("chars > 0").groupBy("source", _band(F.col("chars")).alias("length")).agg(F.count(F.lit(1)).alias("ends"), F.count_if(broken).alias("n"))
+    longer = Window.partitionBy("source").orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0)
+    tested = bands.withColumn("hazard", F.col("n") / F.sum("ends").over(longer)).withColumn("expected", F.greatest(alarms * F.col("ends"), F.lit(LEAST_EXPECTED))).withColumn("unit", F.lit("transfer"))
+    return _significant(tested.filter("n > 0"), rate).select("source", "unit", "length", "n", "hazard", "expected", "p")
+
+
+def _at_limits(rows: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``rows`` with ``at_limit``: whether the text ends at a significant length of its source."""
+    limits = lambda unit: lengths.filter(F.col("unit") == unit).select("source", F.col("length").alias(unit), F.lit(True).alias(f"limit_{unit}"))
+    joined = rows.join(limits("chars"), ["source", "chars"], "left").join(limits("bytes"), ["source", "bytes"], "left")
+    return joined.withColumn("at_limit", F.coalesce("limit_chars", "limit_bytes", F.lit(False))).drop("limit_chars", "limit_bytes")
 
 
 def truncated(df: DataFrame, identifier: str, source: str, text: str, outcomes: str) -> tuple[DataFrame, DataFrame]:
-    """``(rows, lengths)``: each identifier with ``source`` and ``truncated``; the significant lengths.
-
-    A text is truncated if its end is incomplete. Doubtful ends are judged by
-    the word before the number, as it stands inside the texts of the same
-    source: at a significant length they count as incomplete unless the word
-    precedes finished numbers at least as often as decimals, elsewhere only if
-    it almost never precedes finished ones (a smoothed share below ``RARE``).
-    Null and blank texts are not truncated; identifiers count once; null identifiers are left
-    out; a null source is the source ''.
+    """``(rows, hazards)``: each identifier with ``source``, ``truncated`` and the ``evidence`` for it; the significant hazards.
+
+    Every text is placed by the hazards. One with an incomplete ending is cut
+    by a field limit if its length is significant (evidence ``length``), broken
+    in transfer if its band of lengths has a hazard of incomplete endings
+    (``transfer``), and else truncated by its ending alone (``ending``).
+    Doubtful ends are judged by the word before the number, as it stands
+    inside the texts of the same source: at a significant length they count as
+    incomplete unless the word precedes finished numbers at least as often as
+    decimals (``length``), elsewhere only if it almost never precedes finished
+    ones (a smoothed share below ``RARE``; ``ending``). Null and blank texts
+    are not truncated; identifiers count once, of differing copies the first
+    by source and length; null identifiers are left out; a null source is the
+    source ''. Nothing is broadcast by hint; the hazards are joined by source and
+    length, so a hot source spreads over its lengths.
     """
     rows = cut(measured(df, identifier, source, text, outcomes))
     lengths = cut(significant_lengths(rows))
-    at = lengths.select("source", "unit", "length").groupBy("source", "length").pivot("unit", ["chars", "bytes"]).agg(F.lit(True))
-    by_chars = at.filter("chars").select("source", F.col("length").alias("chars"), F.lit(True).alias("limit_chars"))
-    by_bytes = at.filter("bytes").select("source", F.col("length").alias("bytes"), F.lit(True).alias("limit_bytes"))
-    doubtful = rows.filter(F.col("ending") == DOUBTFUL).join(by_chars, ["source", "chars"], "left").join(by_bytes, ["source", "bytes"], "left")
-    doubtful = doubtful.withColumn("at_limit", F.coalesce("limit_chars", "limit_bytes", F.lit(False)))
-    judged = doubtful.join(number_words(df, identifier, source, text), ["source", "word"], "left").fillna(0, ["decimals", "finished"])
+    rows = cut(_at_limits(rows, lengths))
+    transfers = cut(transfer_hazards(rows))
+    band = transfers.select("source", F.col("length").alias("band"), F.lit(True).alias("breaking"))
+    placed = rows.withColumn("band", _band(F.col("chars"))).join(band, ["source", "band"], "left")
+    judged = rows.filter(F.col("ending") == DOUBTFUL).join(number_words(df, identifier, source, text), ["source", "word"], "left").fillna(0, ["decimals", "finished"])
     usual = (F.col("finished") > 0) & (F.col("finished") >= F.col("decimals"))
     rare = (F.col("finished") + 1) / (F.col("finished") + F.col("decimals") + 2) < RARE
     broken = judged.filter(F.when(F.col("at_limit"), ~usual).otherwise(rare)).select("id", F.lit(True).alias("broken"))
-    flag = (F.col("ending") == INCOMPLETE) | F.coalesce("broken", F.lit(False))
-    return rows.join(broken, "id", "left").select("id", "source", flag.alias("truncated")).withColumnRenamed("id", identifier), lengths
+    by_length = F.when(F.col("at_limit"), "length")
+    evidence = F.when(F.col("ending") == INCOMPLETE, F.coalesce(by_length, F.when(F.col("breaking"), "transfer"), F.lit("ending"))).when(F.col("broken"), F.coalesce(by_length, F.lit("ending")))
+    out = placed.join(broken, "id", "left").select("id", "source", evidence.isNotNull().alias("truncated"), evidence.alias("evidence"))
+    return out.withColumnRenamed("id", identifier), lengths.union(transfers)
 
 
 def truncation_rates(rows: DataFrame) -> DataFrame:
-    """How often each source truncates."""
-    n = F.count(F.lit(1))
-    return rows.groupBy("source").agg(n.alias("n"), F.count_if("truncated").alias("n_truncated"), (F.count_if("truncated") / n).alias("share"))
+    """How often each source truncates, in all and by evidence."""
+    n, of = F.count(F.lit(1)), lambda kind: F.count_if(F.col("evidence") == kind)
+    return rows.groupBy("source").agg(n.alias("n"), F.count_if("truncated").alias("n_truncated"), (F.count_if("truncated") / n).alias("share"), of("length").alias("n_length"), of("transfer").alias("n_transfer"), of("ending").alias("n_ending"))

@@ -38,3 +38,24 @@ def test_doubtful_ends_by_shares_of_each_model(spark):
     found = {r.id for r in flagged.collect() if r.truncated}
     assert found == cuts and not found & whole
     assert {r.source: r.n_truncated for r in truncation_rates(flagged).collect()} == {"limited": 61, "other": 2, "few": 0}
+
+
+def test_every_flagged_row_names_its_hazard(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n)) + "."
+    rows = [("limited", t[:300] if len(t := text(rng.randrange(20, 90))) > 300 else t) for _ in range(1500)]
+    rows += [("torn", t if rng.random() < 0.8 else t[:rng.randrange(30, len(t))].rstrip(" .") + "x") for t in (text(rng.randrange(20, 90)) for _ in range(1500))]
+    rows += [("sound", text(rng.randrange(20, 90))) for _ in range(1500)] + [("sound", "it breaks off in the mid"), ("sound", None), ("sound", " ")]
+    df = spark.createDataFrame([(i, s, t, None) for i, (s, t) in enumerate(rows)], "id int, source string, text string, outcomes string")
+    flagged, hazards = truncated(df, "id", "source", "text", "outcomes")
+    rates = {r.source: r for r in truncation_rates(flagged).collect()}
+    cut_off = sum(s == "limited" and len(t) == 300 and not t.endswith(".") for s, t in rows if t)
+    assert rates["limited"].n_length == cut_off and rates["limited"].n_truncated == rates["limited"].n_length
+    assert rates["torn"].n_transfer + rates["torn"].n_ending == rates["torn"].n_truncated > 200 and rates["torn"].n_ending <= 3
+    assert (rates["sound"].n_truncated, rates["sound"].n_ending) == (1, 1)
+    found = {(r.source, r.unit) for r in hazards.collect()}
+    assert found == {("limited", "chars"), ("limited", "bytes"), ("torn", "transfer")}
+    assert {r.length for r in hazards.filter("source = 'limited'").collect()} == {300}
+    empty, none = truncated(df.limit(0), "id", "source", "text", "outcomes")
+    assert empty.count() == none.count() == 0

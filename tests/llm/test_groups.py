@@ -166,6 +166,7 @@ def test_raking_meets_both_margins():
 def test_quotas_are_repaired_within_the_size():
     targets = [{"name": "a", "share": 0.9, "min_rows": 5}, {"name": "b", "share": 0.05, "min_rows": 20}, {"name": "c", "share": 0.05, "min_rows": 10}]
     assert repaired_quotas(targets, {"a": 500, "b": 500, "c": 3}, 100) == {"a": 77, "b": 20, "c": 3}
+    assert repaired_quotas(targets, {"a": 500, "b": 10, "c": 30}, 20) == {"a": 5, "b": 10, "c": 5}
 
 
 def test_sample_keeps_targets_minimums_and_the_cap(spark):
@@ -175,13 +176,47 @@ def test_sample_keeps_targets_minimums_and_the_cap(spark):
     targets = spark.createDataFrame([("Sports", 0.6, 5, 100), ("Art", 0.3, 5, 100), ("Missing", 0.1, 20, 100)], "category string, target_share double, min_rows int, sample_size long")
     sample = RakedSample(df, targets, "event", "record", "category", "round")
     report = {r.category: r for r in sample.report().collect()}
+    supply = {r.category: r for r in sample.shortfalls().collect()}
+    assert {c: r.short for c, r in supply.items()} == {c: r.short for c, r in report.items()}
     assert report["Missing"].short == 20 and report["Sports"].short == report["Art"].short == 0
     assert report["Sports"].available == 45 * 5 and report["Art"].available == 30 * 5
     drawn = sample.rows.collect()
     assert len({(r.event, r.record) for r in drawn}) == len(drawn)
-    assert Counter(r.category for r in drawn) == {"Sports": 60, "Art": 30}
+    assert Counter(r.category for r in drawn) == {"Sports": 67, "Art": 33}  # what Missing lacks is drawn from the others
     assert max(Counter(r.event for r in drawn).values()) <= 5
     again = RakedSample(df.repartition(9), targets, "event", "record", "category", "round").rows.collect()
     assert {(r.event, r.record) for r in again} == {(r.event, r.record) for r in drawn}
     nothing = RakedSample(df.limit(0), targets, "event", "record", "category", "round")
     assert nothing.rows.count() == 0 and all(r.short > 0 for r in nothing.report().collect())
+
+
+def test_report_and_draw_against_each_other(spark):
+    rows = [(f"e{k % 90}", f"s{k}", ["Sports", "art", "Space", "Tiny"][(k * 7 + k // 90) % 4 if k % 5 else 0], k % 4) for k in range(900)]
+    df = spark.createDataFrame(rows, "event string, record string, category string, round int")
+    targets = spark.createDataFrame([("Sports", 0.3, 5, 150), ("Art", 0.3, 5, 150), ("Space", 0.39, 5, 150), ("Tiny", 0.01, 30, 150)], "category string, target_share double, min_rows int, sample_size long")
+    sample = RakedSample(df, targets, "event", "record", "category", "round")
+    drawn = sample.rows.collect()
+    assert len(drawn) == 150 and max(Counter(r.event for r in drawn).values()) <= 5
+    counts = Counter(r.category for r in drawn)
+    report = {r.category: r for r in sample.report().collect()}
+    assert {c: r.drawn for c, r in report.items()} == dict(counts) and counts["Tiny"] == 30
+    assert all(abs(r.gap - (r.target_share - r.drawn / 150)) < 1e-12 for r in report.values())
+    margins = sample.margin_report().collect()
+    assert sum(r.drawn for r in margins) == 150 and max(abs(r.gap) for r in margins) < 0.1
+    supply = {r.category: (r.available, r.short) for r in sample.shortfalls().collect()}
+    by_event = Counter((r[2].title(), r[0]) for r in rows)
+    assert {c: sum(min(5, n) for (k, _), n in by_event.items() if k == c) for c in supply} == {c: a for c, (a, _) in supply.items()}
+
+
+def test_what_a_category_lacks_is_drawn_from_the_others():
+    targets = [{"name": "a", "share": 0.5, "min_rows": 0}, {"name": "b", "share": 0.3, "min_rows": 0}, {"name": "c", "share": 0.2, "min_rows": 0}]
+    assert repaired_quotas(targets, {"a": 10, "b": 500, "c": 500}, 100) == {"a": 10, "b": 54, "c": 36}
+    assert sum(repaired_quotas(targets, {"a": 10, "b": 20, "c": 5}, 100).values()) == 35
+
+
+def test_more_cells_than_the_driver_holds_are_fitted_alike(spark):
+    rows = [(f"e{k}", f"s{k}", "ab"[k % 3 % 2], (k * k) % 5) for k in range(300)]
+    df = spark.createDataFrame(rows, "event string, record string, category string, round int")
+    targets = spark.createDataFrame([("a", 0.2, 5, 60), ("b", 0.7, 5, 60), ("none", 0.1, 5, 60)], "category string, target_share double, min_rows int, sample_size long")
+    pairs = [{(r.category, r.margin): r.weight for r in RakedSample(df, targets, "event", "record", "category", "round", driver_cells=n).weights.collect()} for n in (1000, 2)]
+    assert pairs[0] == pytest.approx(pairs[1], rel=1e-6)
