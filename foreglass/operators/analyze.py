@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from foreglass.operators.selection import ROW_KEY, _extreme, _group_statistics, ambiguous, combine, top_absolute, top_z_score, with_group, with_positions, with_z_score
+from foreglass.operators.selection import ROW_KEY, _extreme, _group_statistics, ambiguous, combine, lower_is_better, top_absolute, top_z_score, with_group, with_positions, with_z_score
 from foreglass.functions.vectors import not_nan
 
 Z_VALUES = (1.0, 1.25, 1.5, 1.75, 2.0, 2.5, 3.0)
@@ -25,7 +25,7 @@ def sweep_z(df: DataFrame, metric: str, row_id: str, values=Z_VALUES, max_mean:
     """Rows and events that each z threshold would keep; the z-score is computed once."""
     scored = with_z_score(df, metric, row_id, max_mean)
     if min_val > 0:
-        scored = scored.filter(F.col(metric) <= min_val)
+        scored = scored.filter(F.col(metric) <= min_val if lower_is_better(metric) else F.col(metric) >= min_val)
     return _sweep(scored, "min_z", {v: _extreme(metric, v) for v in values})
 
 

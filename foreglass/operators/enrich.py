@@ -66,3 +66,25 @@ def with_augmented_titles(df: DataFrame, augmented: DataFrame) -> DataFrame:
     out = df.join(titles, "event_ticker", "left")
     better = F.nullif(F.nullif(F.col("augmented_title"), F.lit("")), F.lit("nan"))
     return out.withColumn("title", F.coalesce(better, "title")).drop("augmented_title")
+
+
+def paste(left: DataFrame, right: DataFrame, row_id: str) -> DataFrame:
+    """Two tables side by side by an explicit row number; a row that only one of them has is an error."""
+    both = left.withColumn("__left", F.lit(True)).join(right.withColumn("__right", F.lit(True)), row_id, "full_outer")
+    whole = F.col("__left").isNotNull() & F.col("__right").isNotNull()
+    return both.filter(F.when(whole, True).otherwise(F.raise_error(F.concat(F.lit("row without partner: "), F.col(row_id).cast("string"))).cast("boolean"))).drop("__left", "__right")
+
+
+def sampled_with_details(sampled: DataFrame, titles: DataFrame, events: DataFrame, usage: DataFrame, sources: DataFrame) -> DataFrame:
+    """Sampled rows with the event's augmented title and rules and, as JSON text, the distinct sources of the submission.
+
+    All three are left joins: titles and rules may be null, a submission
+    without sources has '[]'. Sources are objects of summary, source_id,
+    ranking, title and url, sorted; repeated titles and events count once.
+    """
+    fields = [F.col("summary"), F.col("source_id"), F.col("popularity_score").alias("ranking"), F.col("title"), F.col("url")]
+    pairs = usage.select("submission_id", "source_id").distinct().join(sources.select(*{*sources.columns}), "source_id")
+    listed = pairs.groupBy("submission_id").agg(F.to_json(F.array_sort(F.collect_set(F.struct(*fields)))).alias("sources"))
+    titled = sampled.join(titles.select("event_ticker", "augmented_title").distinct(), "event_ticker", "left")
+    ruled = titled.join(events.select("event_ticker", "rules").distinct(), "event_ticker", "left")
+    return ruled.join(listed, "submission_id", "left").withColumn("sources", F.coalesce("sources", F.lit("[]")))

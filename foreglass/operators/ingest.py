@@ -89,6 +89,31 @@ def process(predictions: DataFrame, submissions: DataFrame, markets: DataFrame,
     return joined, kept
 
 
+def load(predictions: DataFrame, submissions: DataFrame, markets: DataFrame | None, events: DataFrame, after=None, before=None, agents_only: bool = False, exclude: list[str] | None = None, use_bid: bool = False) -> dict[str, DataFrame]:
+    """The tables ``predictions`` and ``submissions`` in a time window, without the excluded forecasters.
+
+    With ``markets`` they are the raw tables of a database and go through
+    ``process``: rounds, market data and outcomes come from the snapshots. Else
+    they have them already.
+    """
+    if "created_at" in predictions.columns:
+        predictions = scan_predictions(predictions, after, before, agents_only)
+    submissions = scan_submissions(submissions, after, before)
+    if exclude:
+        predictions = predictions.filter(~F.col("forecaster").isin(exclude))
+    if markets is None:
+        return {"predictions": predictions, "submissions": submissions}
+    made, kept = process(predictions.drop("round", "title"), submissions, markets, events, use_bid)
+    texts = {c: F.to_json(c) for c in ("market_data", "market_outcome") if dict(kept.dtypes)[c] != "string"}
+    return {"predictions": made, "submissions": kept.withColumns(texts)}
+
+
+def forecasts_from_tables(predictions: DataFrame, submissions: DataFrame, markets: DataFrame, events: DataFrame, weight: WeightFunction = uniform, **window) -> DataFrame:
+    """Forecast rows straight from the four raw tables of a database; ``window`` holds the options of ``load``."""
+    loaded = load(predictions, submissions, markets, events, **window)
+    return parse_and_merge(loaded["predictions"], loaded["submissions"], weight)
+
+
 def parse_and_merge(predictions: DataFrame, submissions: DataFrame, weight: WeightFunction = uniform, on: tuple[str, ...] = ("event_ticker", "round")) -> DataFrame:
     """Forecast rows with vectors ordered by market name, ``time_rank`` and ``weight``.
 

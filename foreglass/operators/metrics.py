@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foreglass.functions.vectors import total
+from foreglass.plans.prefix import exact_quantiles
 
 
 def brier(prediction: Column, outcome: Column) -> Column:
@@ -32,6 +33,17 @@ def brier_of_maps(prediction: Column, outcome: Column, missing: float | None = 0
     return F.when(prediction.isNotNull() & valid & (F.size(keys) > 0), brier(p, o))
 
 
+def market_brier(prices: Column, outcome: Column) -> Column:
+    """Brier score of the market itself: the yes price in cents of each market of ``outcome`` as its probability.
+
+    ``prices`` maps markets to a struct with ``yes_ask``. Null where a market of
+    the outcome has no price or no outcome, and for no outcome at all.
+    """
+    entries = F.map_entries(outcome)
+    p = F.transform(entries, lambda e: F.try_element_at(prices, e["key"])["yes_ask"] / 100.0)
+    return brier(p, F.transform(entries, lambda e: e["value"]))
+
+
 def average_return(prediction: Column, outcome: Column, odds: Column, no_odds: Column, spread: bool = False) -> Column:
     """Earnings of one unit bet where the forecast sees the largest edge over the price.
 
@@ -42,16 +54,14 @@ def average_return(prediction: Column, outcome: Column, odds: Column, no_odds: C
     be counted, so its return is null.
     """
     edge = lambda p, q: F.when(q == 0, F.when(p > 0, F.lit(float("inf"))).otherwise(0.0)).otherwise(F.try_divide(p, q))
-    yes = F.zip_with(prediction, odds, edge)
-    no = F.zip_with(F.transform(prediction, lambda p: 1.0 - p), no_odds, edge)
-    side = F.zip_with(yes, no, lambda y, n: y > n)
-    best = F.zip_with(yes, no, lambda y, n: F.greatest(y, n))
-    pay_yes = F.zip_with(outcome, odds, F.try_divide)
-    pay_no = F.zip_with(F.transform(outcome, lambda o: 1.0 - o), no_odds, F.try_divide)
-    pays = F.transform(F.arrays_zip(side.alias("s"), pay_yes.alias("y"), pay_no.alias("n")), lambda z: F.when(z["s"], z["y"]).otherwise(z["n"]))
+    markets = F.arrays_zip(prediction.alias("p"), outcome.alias("o"), odds.alias("y"), no_odds.alias("n"))
+    # one array of structs, walked once: both edges, then the side taken
+    sides = F.transform(markets, lambda m: F.struct(edge(m["p"], m["y"]).alias("yes"), edge(1.0 - m["p"], m["n"]).alias("no"), F.try_divide(m["o"], m["y"]).alias("pay_yes"), F.try_divide(1.0 - m["o"], m["n"]).alias("pay_no")))
+    bets = F.transform(sides, lambda s: F.struct(F.greatest(s["yes"], s["no"]).alias("edge"), F.when(s["yes"] > s["no"], s["pay_yes"]).otherwise(s["pay_no"]).alias("pay")))
     if spread:
-        return total(pays) / F.size(prediction)
-    return F.element_at(pays, F.array_position(best, F.array_max(best)).cast("int"))
+        return F.aggregate(bets, F.lit(0.0), lambda a, b: a + b["pay"]) / F.size(prediction)
+    none = F.struct(F.lit(float("-inf")).alias("edge"), F.lit(None).cast("double").alias("pay"))
+    return F.aggregate(bets, none, lambda a, b: F.when(b["edge"] > a["edge"], b).otherwise(a))["pay"]
 
 
 def bin_edges(n_bins: int) -> list[float]:
@@ -77,13 +87,12 @@ def exploded_pairs(df: DataFrame, prediction: str, outcome: str, by_market: bool
 def quantile_edges(pairs: DataFrame, n_bins: int) -> DataFrame:
     """``(forecaster, inner)``: the distinct inner quantile edges of each forecaster's probabilities.
 
-    Exact quantiles of counted values: the counts are combined before the
-    shuffle.
+    Exact quantiles over a range sort of counted values, so no task holds a
+    forecaster's probabilities.
     """
-    points = [i / n_bins for i in range(n_bins + 1)]
-    counted = pairs.groupBy("forecaster", "p").agg(F.count(F.lit(1)).alias("n"))
-    edges = counted.groupBy("forecaster").agg(F.percentile("p", F.array(*(F.lit(x) for x in points)), F.col("n")).alias("e"))
-    return edges.select("forecaster", F.array_distinct("e").alias("e")).select("forecaster", F.slice("e", 2, F.greatest(F.size("e") - 2, F.lit(0))).alias("inner"))
+    edges = exact_quantiles(pairs, ["forecaster"], "p", [i / n_bins for i in range(n_bins + 1)])
+    edges = edges.select("forecaster", F.array_distinct("quantiles").alias("e"))
+    return edges.select("forecaster", F.slice("e", 2, F.greatest(F.size("e") - 2, F.lit(0))).alias("inner"))
 
 
 def calibration_bins(df: DataFrame, n_bins: int = 10, strategy: str = "uniform", by_market: bool = True, prediction: str = "prediction", outcome: str = "market_outcome") -> DataFrame:
@@ -122,26 +131,34 @@ def sharpe(df: DataFrame, value: str, baseline: float = 0.0, by_event: bool = Fa
     deviation is zero or undefined the ratio is 0 for a zero mean, else
     infinite with its sign. Null values are left out.
     """
-    rows = df.filter(F.col(value).isNotNull())
+    rows = df
     if by_event:
-        mean = F.try_divide(F.sum(F.col(value) * F.col("weight")), F.sum("weight"))
-        rows = rows.groupBy("forecaster", "event_ticker").agg(mean.alias(value)).filter(F.col(value).isNotNull())
+        # sums skip nulls by themselves: a filter would be pushed below and work the value out twice
+        weighted = F.struct((F.col(value) * F.col("weight")).alias("vw"), F.when(F.col(value).isNotNull(), F.col("weight")).alias("w"))
+        rows = df.select("forecaster", "event_ticker", weighted.alias("r")).groupBy("forecaster", "event_ticker").agg(F.try_divide(F.sum("r.vw"), F.sum("r.w")).alias(value))
     excess = F.col(value) - baseline
-    out = rows.groupBy("forecaster").agg(F.avg(excess).alias("mean_excess_return"), F.stddev_samp(excess).alias("std_excess_return"))
+    out = rows.groupBy("forecaster").agg(F.avg(excess).alias("mean_excess_return"), F.stddev_samp(excess).alias("std_excess_return")).filter("mean_excess_return is not null")
     m, s = F.col("mean_excess_return"), F.col("std_excess_return")
     ratio = F.when(s > 0, m / s).when(m == 0, 0.0).otherwise(F.signum(m) * float("inf"))
     return out.select("forecaster", ratio.alias("sharpe_ratio"), "mean_excess_return", "std_excess_return")
 
 
 def score_summary(df: DataFrame, by: list[str] | None = None, score: str = "brier_score") -> DataFrame:
-    """Counts, distinct events and submissions, mean, median, minimum, maximum and deviation of the scores and of the event means."""
+    """Counts, distinct events and submissions, mean, median, minimum, maximum and deviation of the scores and of the event means.
+
+    Medians are exact and come from a range sort; null keys are left out.
+    """
     keys = list(by or [])
-    stats = lambda c, prefix: [F.avg(c).alias(f"{prefix}mean"), F.median(c).alias(f"{prefix}median"), F.min(c).alias(f"{prefix}min"), F.max(c).alias(f"{prefix}max"), F.stddev_samp(c).alias(f"{prefix}std")]
+    stats = lambda c, prefix: [F.avg(c).alias(f"{prefix}mean"), F.min(c).alias(f"{prefix}min"), F.max(c).alias(f"{prefix}max"), F.stddev_samp(c).alias(f"{prefix}std")]
+    median = lambda rows, c, prefix: exact_quantiles(rows, keys, c, [0.5]).select(*keys, F.col("quantiles")[0].alias(f"{prefix}median"))
     rows = df.filter(F.col(score).isNotNull())
     events = rows.groupBy(*keys, "event_ticker").agg(F.avg(score).alias("event_mean"))
     own = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_ticker").alias("n_events"), F.countDistinct("submission_id").alias("n_submissions"), *stats(score, ""))
-    event = events.groupBy(*keys).agg(*stats("event_mean", "event_"))
-    return own.join(event, keys) if keys else own.crossJoin(F.broadcast(event))  # one row each
+    out = own
+    for part in (median(rows, score, ""), events.groupBy(*keys).agg(*stats("event_mean", "event_")), median(events, "event_mean", "event_")):
+        # without keys one row each, also of no scores
+        out = out.join(part, keys) if keys else out.join(F.broadcast(part), F.lit(True), "left")
+    return out
 
 
 def event_mean(df: DataFrame, score: str = "brier_score") -> DataFrame:

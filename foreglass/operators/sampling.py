@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foreglass.plans.prefix import group_positions, running_total
+from foreglass.plans.prefix import best_of_blocks, group_positions, running_total
 
 
 def seeded(seed: int, *columns: str) -> Column:
@@ -29,9 +29,9 @@ def category_sample(df: DataFrame, budgets: dict[str, int], row_id: str, per_eve
     budget = F.create_map(*(F.lit(x) for item in budgets.items() for x in item)) if budgets else F.create_map().cast("map<string,int>")
     named = df.withColumn("__draw", seeded(seed, row_id)).withColumn("__category", F.when(F.col("category").isin(list(budgets)), F.col("category")).otherwise("Other"))
     capped = named.withColumn("__n", F.row_number().over(Window.partitionBy("event_ticker").orderBy("__draw", row_id))).filter(F.col("__n") <= per_event)
-    places = group_positions(capped.select("__category", "__draw", row_id), "__category", ["__draw", row_id])
-    chosen = places.filter(F.col("position") <= F.coalesce(F.try_element_at(budget, F.col("__category")), F.lit(other))).select(row_id)
-    return df.join(chosen, row_id, "left_semi")
+    most = max([*budgets.values(), other])
+    places = group_positions(best_of_blocks(capped, "__category", ["__draw", row_id], most), "__category", ["__draw", row_id], most)
+    return places.filter(F.col("position") <= F.coalesce(F.try_element_at(budget, F.col("__category")), F.lit(other))).select(df.columns)
 
 
 def assign_repetitive(df: DataFrame, models: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foreglass.functions.vectors import not_nan
-from foreglass.plans.prefix import group_positions
+from foreglass.plans.prefix import best_of_blocks, group_positions
 from foreglass.plans.skew import skewed_left_join
 
 GROUP = "submission_id"
@@ -22,17 +22,20 @@ def with_group(df: DataFrame, stats: DataFrame, spread: list[str]) -> DataFrame:
     return skewed_left_join(df.filter(F.col(GROUP).isNotNull()), stats, GROUP, spread)
 
 
-def with_positions(df: DataFrame, metric: str, row_id: str) -> DataFrame:
+def with_positions(df: DataFrame, metric: str, row_id: str, keep: int | None = None) -> DataFrame:
     """Adds ``position``: the place of a row in its group by metric, best first, ties by ``row_id``, null metrics last.
 
     Places come from a range-partitioned sort with prefix-summed counts, so a
-    group may be larger than any task.
+    group may be larger than any task; the columns travel with it. With
+    ``keep`` only places up to it come out, and a hot group shrinks before the
+    sort.
     """
     value = not_nan(F.col(metric))
     order = value if lower_is_better(metric) else -value
-    keyed = df.filter(F.col(GROUP).isNotNull()).select(GROUP, F.coalesce(order, F.lit(float("inf"))).alias("__order"), row_id)
-    places = group_positions(keyed, GROUP, ["__order", row_id]).select(row_id, "position")
-    return df.join(places, row_id)
+    keyed = df.filter(F.col(GROUP).isNotNull()).withColumn("__order", F.coalesce(order, F.lit(float("inf"))))
+    if keep is not None:
+        keyed = best_of_blocks(keyed, GROUP, ["__order", row_id], keep)
+    return group_positions(keyed, GROUP, ["__order", row_id], keep).drop("__order")
 
 
 def top_absolute(df: DataFrame, metric: str, row_id: str, top_k: int = -1, top_p: float = 0.1, min_val: float = -1.0) -> DataFrame:
@@ -43,10 +46,10 @@ def top_absolute(df: DataFrame, metric: str, row_id: str, top_k: int = -1, top_p
     """
     if top_k <= 0 and not 0 < top_p < 1:
         raise ValueError("top_p must lie between 0 and 1")
-    placed = with_positions(df, metric, row_id)
     if top_k > 0:
-        kept = placed.filter(F.col("position") <= top_k)
+        kept = with_positions(df, metric, row_id, top_k)
     else:
+        placed = with_positions(df, metric, row_id)
         sizes = df.groupBy(GROUP).agg(F.count(F.lit(1)).alias("group_size"))
         kept = with_group(placed, sizes, [row_id]).filter(F.col("position") <= F.greatest(F.lit(1), F.floor(F.col("group_size") * top_p))).drop("group_size")
     kept = kept.drop("position").select(df.columns)
@@ -103,7 +106,7 @@ def ambiguous(df: DataFrame, metric: str, row_id: str, min_val: float = 0.25, ma
     stats = stats.filter(F.col("group_min") > max_val if asc else F.col("group_max") < max_val).select(GROUP, F.lit(True).alias("kept_group"))
     kept = with_group(df, stats, [row_id]).filter("kept_group").filter(F.col(metric) < min_val if asc else F.col(metric) > min_val).select(df.columns)
     if top_k > 0:
-        kept = with_positions(kept, metric, row_id).filter(F.col("position") <= top_k).select(df.columns)
+        kept = with_positions(kept, metric, row_id, top_k).select(df.columns)
     return kept
 
 
@@ -138,9 +141,21 @@ def deduplicate_problems(df: DataFrame, row_id: str, strategy: str = "first", se
 
 
 def limit_problems(df: DataFrame, row_id: str, most: int | None = None, shuffle: bool = True, seed: int = 42) -> DataFrame:
-    """At most ``most`` rows: a seeded sample, or the first ones without ``shuffle``. The limit keeps ``most`` rows a task before they meet."""
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string"))) if shuffle else F.col(row_id)
-    return df if most is None else df.orderBy(order, row_id).limit(most)
+    """At most ``most`` rows: a seeded sample, or the first ones without ``shuffle``.
+
+    A global sort over range partitions, so ``most`` may be larger than a task;
+    rows of the same ``row_id`` count once.
+    """
+    if most is None:
+        return df
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string"))) if shuffle else F.lit("")
+    keyed = df.withColumn("__all", F.lit(0)).withColumn("__draw", order)
+    return group_positions(best_of_blocks(keyed, "__all", ["__draw", row_id], most), "__all", ["__draw", row_id], most).select(df.columns)
+
+
+def head(df: DataFrame, n: int = 10) -> DataFrame:
+    """Some ``n`` rows to try things out with."""
+    return df.limit(n)
 
 
 def cap_per_event(df: DataFrame, order: list[str], most: int = 5, event: str = "event_ticker") -> DataFrame:

@@ -9,8 +9,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from foreglass.plans.skew import skewed_left_join
 from foreglass.session import cut, partitions
 
+#: Rows of a task that are pruned together.
+BLOCK_ROWS = 200_000
+
 
 def range_sorted(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` sorted by ``order`` over all partitions, cut, with the partition's number as ``__part``.
@@ -151,3 +155,61 @@ def running_total(df: DataFrame, order: list[str], weight: str, total: str = "ru
 
     schema = T.StructType([*(f for f in ordered.schema.fields if f.name != "__part"), T.StructField(total, T.DoubleType())])
     return ordered.mapInArrow(add, schema)
+
+
+def best_of_blocks(df: DataFrame, group: str, order: list[str], n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``df`` with only the ``n`` first distinct rows of each group among the rows of a block of a task, in the order ``order``.
+
+    Nothing is shuffled. Before a sort it shrinks a hot group to ``n`` rows for
+    each block. Keys ascend, nulls first; all columns stay.
+    """
+    keys = [group, *order]
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= block_rows:
+                yield from prune(held)
+                held, rows = [], 0
+        if rows:
+            yield from prune(held)
+
+    def prune(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        sort = pc.sort_indices(table.select(keys), sort_keys=[(k, "ascending") for k in keys], null_placement="at_start")
+        columns = [table.column(k).take(sort).combine_chunks() for k in keys]
+        fresh = np.zeros(table.num_rows, bool)
+        for column in columns:
+            fresh |= run_starts(column)
+        rank = np.cumsum(fresh)
+        base = np.maximum.accumulate(np.where(run_starts(columns[0]), rank, 0))
+        yield from table.take(sort.filter(pa.array(fresh & (rank - base < n)))).to_batches()
+
+    return df.mapInArrow(best, df.schema)
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[float]) -> DataFrame:
+    """``(*keys, quantiles)``: exact interpolated quantiles of ``value`` for each combination of ``keys``, or of all rows.
+
+    Equal values are counted before they are shuffled; the counted values are
+    range-sorted and their counts prefix-summed, so no task holds the values of
+    a key. Null and NaN values and null keys are left out.
+    """
+    keep = F.col(value).isNotNull() & ~F.isnan(value)
+    for k in keys:
+        keep = keep & F.col(k).isNotNull()
+    counted = df.filter(keep).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_total(counted, [*keys, "__v"], "__n", "__before")
+    wholes = placed.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("__n").alias("__total"))
+    if len(keys) == 1:
+        joined = skewed_left_join(placed, wholes, keys[0], ["__v"])
+    else:
+        joined = placed.join(wholes, keys) if keys else placed.crossJoin(F.broadcast(wholes))  # one row
+    place = F.col("__before") - F.col("__start")
+    at = lambda h: F.max(F.when(place <= h, F.col("__v")))
+    last = F.col("__total") - 1
+    found = joined.groupBy(*keys).agg(F.first("__total").alias("__total"), *(f(i, q) for i, q in enumerate(points) for f in (lambda i, q: at(F.floor(last * q)).alias(f"__lo{i}"), lambda i, q: at(F.ceil(last * q)).alias(f"__hi{i}"))))
+    value_at = lambda i, q: F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (last * q - F.floor(last * q))
+    return found.filter("__total is not null").select(*keys, F.array(*(value_at(i, q) for i, q in enumerate(points))).alias("quantiles"))

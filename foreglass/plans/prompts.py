@@ -11,6 +11,10 @@ from pyspark.sql import Column, functions as F
 from foreglass.sources.io import read_yaml, write_yaml
 
 
+# The fields of a prompt file, and what they are here.
+_NAMES = {"system_prompt": "system", "user_prompt_template": "user", "required_variables": "required"}
+
+
 @dataclass
 class PromptTemplate:
     """A system text and a user text with ``{variables}``."""
@@ -48,7 +52,9 @@ class PromptTemplate:
 
     @classmethod
     def from_yaml(cls, path: str) -> PromptTemplate:
-        return cls(**read_yaml(path))
+        """A template from its own fields or from those of ``_NAMES``; a description is left out."""
+        values = {_NAMES.get(k, k): v for k, v in read_yaml(path).items() if k != "description"}
+        return cls(**{**values, "version": str(values.get("version", "1"))})
 
     def to_yaml(self, path: str) -> None:
         write_yaml({**asdict(self), "required": list(self.required)}, path)
@@ -80,6 +86,7 @@ class PromptRegistry:
 
 
 REGISTRY = PromptRegistry()
-TITLE = REGISTRY.register(PromptTemplate("event_augment", "You write clear titles for forecasting questions. Answer with the title only.", "Title: {title}\nOutcomes: {markets}\n\nWrite a title that can be understood without the outcomes."))
-REASONING = REGISTRY.register(PromptTemplate("reasoning_augment", "You improve the reasoning behind a forecast without changing its probabilities. Answer with source_analysis, market_analysis and rationale.", "{event}\n\nSources:\n{sources}\n\nForecast: {probabilities}\n\nReasoning so far: {rationale}"))
+# Names and variables of the templates, which custom prompt files use too.
+TITLE = REGISTRY.register(PromptTemplate("event_augment", "You write clear titles for forecasting questions. Answer with the title only.", "Title: {raw}\nRules: {rules}\nOutcomes: {outcome}\n\nWrite a title that can be understood without the rules and outcomes."))
+REASONING = REGISTRY.register(PromptTemplate("reasoning_augment", "You improve the reasoning behind a forecast without changing its probabilities. Answer with source_analysis, market_analysis and rationale.", "{event_info}\n\nSources:\n{sources}\n\nMarket prices: {market_data}\n\nForecast: {llm_prediction}\n\nReasoning so far: {vanilla_rationale}"))
 PREDICTION = REGISTRY.register(PromptTemplate("prediction", "You forecast the outcomes of events. Give your reasoning, then the probability of each outcome as JSON between <probabilities> tags.", "{prompt}"))

@@ -6,22 +6,29 @@ import json
 import time
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from foreglass.plans import stages
-from foreglass.plans.config import PipelineConfig
+from foreglass.plans.config import PipelineConfig, declare
 from foreglass.plans.judge import Client
 from foreglass.plans.prompts import REGISTRY
+from foreglass.session import scratch
 from foreglass.sources import io
 
+# Names and defaults that a run's YAML carries.
+declare("run", name=None, resume_from=None, new_run_name=None, end_at=None, skip_stages=[], pipeline_type="sft")
+declare("output.checkpoints", enabled=True, format="parquet", skip_raw_data=False)
+
 
 @dataclass
 class StageRecord:
+    """What a stage did; rows are counted while they are written, never by a job of their own."""
+
     name: str
     started: str
     seconds: float = 0.0
+    inputs: dict[str, int] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
     error: str | None = None
 
@@ -66,17 +73,24 @@ class Runner:
             self.name = new
 
     def run(self) -> stages.State:
+        """Runs the planned stages. Intermediate tables go when a stage's tables are written; without checkpoints they stay."""
         if self.config.run.resume_from:
             self.restore()
+        counted: dict[str, int] = {}
         for kind in self.plan():
-            record = StageRecord(kind.name, datetime.now(timezone.utc).isoformat())
+            record = StageRecord(kind.name, datetime.now(timezone.utc).isoformat(), inputs={t: counted[t] for t in kind.needs if t in counted})
             self.records.append(record)
             began = time.monotonic()
             try:
-                stage = kind(self.spark, self.config, self.client)
+                stage = kind(self.spark, self.config, self.client, f"{self.directory}/{kind.name}" if self.config.output.checkpoints.enabled else None)
                 stage.validate(self.state)
-                for table, df in stage.run(self.state).items():
-                    self.state.tables[table] = self._checkpoint(stage, table, df, record)
+                if self._kept(stage):
+                    with scratch(self.spark):
+                        tables = {table: self._checkpoint(stage, table, df, record) for table, df in stage.run(self.state).items()}
+                else:
+                    tables = stage.run(self.state)
+                self.state.tables.update(tables)
+                counted |= record.rows
             except Exception as error:
                 record.error = f"{type(error).__name__}: {error}"
                 raise
@@ -85,24 +99,23 @@ class Runner:
                 self._metadata()
         return self.state
 
-    def _checkpoint(self, stage: stages.Stage, table: str, df: DataFrame, record: StageRecord) -> DataFrame:
+    def _kept(self, stage: stages.Stage) -> bool:
         c = self.config.output.checkpoints
-        if not c.enabled or (stage.raw and c.skip_raw_data):
-            return df
-        # later stages read what was written, so nothing is computed twice
-        path = f"{self.directory}/{stage.name}/{table}"
+        return c.enabled and not (stage.raw and c.skip_raw_data)
+
+    def _checkpoint(self, stage: stages.Stage, table: str, df: DataFrame, record: StageRecord) -> DataFrame:
+        """The table as it was written, so nothing is computed twice; in any format with its own types."""
+        path, seen = f"{self.directory}/{stage.name}/{table}", Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if table == "dataset":
             io.write_dataset(df, path)
         else:
-            io.write_frame(df, path, c.format)
-        kept = self.spark.read.parquet(path) if c.format == "parquet" or table == "dataset" else df
-        record.rows[table] = kept.count()
-        return kept
+            io.write_frame(df, path, self.config.output.checkpoints.format)
+        record.rows[table] = seen.get["rows"]
+        return io.read_frame(self.spark, path)
 
     def _metadata(self) -> None:
         if not self.config.output.checkpoints.enabled:
             return
-        folder = Path(self.directory)
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / "metadata.json").write_text(json.dumps({"run": self.name, "config": self.config.to_dict(), "stages": [asdict(r) for r in self.records]}, indent=2))
-        (folder / "prompts_used.json").write_text(json.dumps(REGISTRY.used(), indent=2))
+        io.write_text(self.spark, f"{self.directory}/metadata.json", json.dumps({"run": self.name, "config": self.config.to_dict(), "stages": [asdict(r) for r in self.records]}, indent=2))
+        io.write_text(self.spark, f"{self.directory}/prompts_used.json", json.dumps(REGISTRY.used(), indent=2))

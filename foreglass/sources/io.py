@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from functools import reduce
 from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from foreglass.session import file_system
 from foreglass.sources import schemas
 
 #: CSV cells hold JSON with quotes and line breaks.
 CSV = {"header": "true", "multiLine": "true", "escape": '"', "enforceSchema": "false"}
 
 
+#: Beside the parts of a CSV table: its schema, so that it comes back as it was.
+SCHEMA_FILE = "_schema.json"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True if the path, a pattern allowed, leads to anything on its file system."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
-    return bool(found)
+    system, place = file_system(spark, path)
+    return bool(system.globStatus(place))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file on the path's own file system."""
+    system, place = file_system(spark, path)
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as one text."""
+    return spark.read.text(require(spark, path), wholetext=True).first()[0]
 
 
 def require(spark: SparkSession, path: str) -> str:
@@ -30,9 +51,15 @@ def require(spark: SparkSession, path: str) -> str:
 
 def read_frame(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet, JSON lines or CSV by extension; CSV needs a schema or is read as strings."""
-    require(spark, path)
-    if path.rstrip("/").endswith(".parquet") or exists(spark, f"{path.rstrip('/')}/*.parquet"):
+    path = require(spark, path).rstrip("/")
+    if path.endswith(".parquet") or any(exists(spark, f"{path}/{below}.parquet") for below in ("*", "*=*/*")):
         return spark.read.parquet(path)
+    if schema is None and exists(spark, f"{path}/{SCHEMA_FILE}"):
+        own = StructType.fromJson(json.loads(read_text(spark, f"{path}/{SCHEMA_FILE}")))
+        nested = {f.name: f.dataType for f in own if _is_nested(f.dataType.simpleString())}
+        flat = StructType([f if f.name not in nested else type(f)(f.name, "string") for f in own])
+        rows = spark.read.schema(flat).options(**CSV).csv(path)
+        return rows.withColumns({n: F.from_json(n, t) for n, t in nested.items()}) if nested else rows
     reader = spark.read if schema is None else spark.read.schema(schema)
     if path.endswith((".json", ".jsonl")):
         return reader.json(path)
@@ -90,13 +117,26 @@ def write_yaml(value: dict, path: str) -> None:
 def write_frame(df: DataFrame, path: str, form: str = "parquet", mode: str = "overwrite", partition: Iterable[str] = ()) -> str:
     """A table as parquet, JSON lines or CSV; nested columns become JSON text in CSV."""
     if form == "csv":
-        nested = {c: F.to_json(c) for c, t in df.dtypes if t.startswith(("array", "map", "struct"))}
+        schema = df.schema.json()
+        nested = {c: F.to_json(c) for c, t in df.dtypes if _is_nested(t)}
         df = df.withColumns(nested) if nested else df
     writer = df.write.mode(mode).partitionBy(*partition)
     getattr(writer.options(**({k: CSV[k] for k in ("header", "escape")} if form == "csv" else {})), form)(path)
+    if form == "csv":
+        write_text(df.sparkSession, f"{path}/{SCHEMA_FILE}", schema)
     return path
 
 
+def _is_nested(kind: str) -> bool:
+    return kind.startswith(("array", "map", "struct"))
+
+
+def write_splits(tables: dict[str, DataFrame], path: str) -> str:
+    """Several tables of the same columns as the splits of one dataset."""
+    named = [df.withColumn("split", F.lit(name)) for name, df in tables.items()]
+    return write_dataset(reduce(lambda a, b: a.unionByName(b), named), path)
+
+
 def write_dataset(df: DataFrame, path: str) -> str:
     """A dataset with its ``split`` as directories."""
     return write_frame(df, path, partition=["split"])

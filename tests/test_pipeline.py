@@ -138,7 +138,7 @@ def fake(system, user):
 
 def test_both_pipelines_and_resuming(spark, tmp_path):
     data = fixture_files(spark, tmp_path / "in")
-    settings = {"run": {"name": "one"}, "data": data, "output": {"base_dir": str(tmp_path / "runs"), "dataset": {"test_size": 0.3}}, "augment": {"reasoning": {"fraction": 1.0}}}
+    settings = {"run": {"name": "one"}, "data": data, "output": {"base_dir": str(tmp_path / "runs"), "dataset": {"test_size": 0.3}}, "augment": {"reasoning": {"strategy": {"fraction": 1.0}}}}
     state = Runner(spark, PipelineConfig.from_dict(settings), fake).run()
     rows = state.tables["dataset"].collect()
     assert rows and all([m.role for m in r.messages] == ["system", "user", "assistant"] for r in rows)
