@@ -2,7 +2,8 @@
 
 Method: prompt and response are aligned by shingle containment and longest
 common subsequence to find copies; sentences of the response are aligned with
-refusal templates; languages are compared by function words and scripts.
+refusal templates; languages are compared by a model of character n-grams that
+is fitted on a bounded sample of labelled texts.
 """
 
 from __future__ import annotations
@@ -15,12 +16,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foreglass.llm.language import Languages
+
 #: Share of a copy's words that stand in the prompt in the same order.
 COPY_SHARE = 0.85
 
 # Contents that stand for no content.
 PLACEHOLDERS = frozenset(["", "n a", "na", "none", "null", "nil", "nan", "tbd", "todo", "to do", "to be determined", "to be added", "no content", "not available", "not applicable", "no answer", "no response", "empty", "unknown", "undefined", "pending", "placeholder", "content here", "insert text here", "coming soon", "lorem ipsum"])
 
+MOST_PLACEHOLDER_WORDS = max(len(p.split()) for p in PLACEHOLDERS)
+
 # Refusal templates. REFUSE and ACT stand for the phrases below; the words of a template must follow in this order.
 REFUSALS = [t.split() for t in [
     "SELF REFUSE ACT",
@@ -53,22 +58,6 @@ _ACT = r"\b(?:help(?:ing)?|assist(?:ing)?|comply|complying|answer(?:ing)?|commen
 _HINT = re.compile(r"not\b|n't\b|declin|refus|unable|pass on|beyond what|outside what|policy|guidelines|no answer")
 _CONTRACTIONS = [("can't", "can not"), ("cannot", "can not"), ("won't", "will not"), ("n't", " not"), ("i'm", "i am"), ("we're", "we are"), ("i'd", "i would"), ("we'd", "we would"), ("i've", "i have"), ("we've", "we have"), ("it's", "it is"), ("i'll", "i will")]
 
-# Frequent function words, which tell languages of the Latin script apart.
-FUNCTION_WORDS = {
-    "en": "the of and to in is that it was for on with as at by this be are from or an have not but which they were their one would there has its been will when than more no if about up out while under over each only both into without before after since so keeps should",
-    "de": "der die das und ist nicht ein eine einen einem einer zu den dem des mit sich auf für von im als auch es an werden aus er hat dass sie nach wird bei um am sind noch wie über nur oder aber vor zur bis mehr durch wurde kein keine hier liegt damit seit deshalb wenn wäre würde",
-    "fr": "le la les de des du un une et est que qui dans pour pas sur au aux avec ce cette se il elle ne sont par plus en son sa ses ou mais comme nous vous leur été ont fait sans sous entre si peu donc je reste n'est d'un d'une l'on c'est qu'il selon depuis",
-    "es": "el la los las de del un una y es que en por para con no se su sus al lo como más pero o este esta entre cuando muy sin sobre también hay fue son está si ya desde todo porque uno han ser nos según sería quien eso doy poco",
-    "pt": "o a os as de do da dos das um uma e é que em por para com não se seu sua ao no na nos nas como mais mas ou este esta entre quando muito sem sobre também há foi são está já desde tudo porque pelo pela até isso ele ela pouco seria segundo",
-    "it": "il lo la i gli le di del della dei un una e è che in per con non si suo sua al alla come più ma o questo questa tra quando molto senza su anche sono sta già da tutto perché nel nella hanno essere ci poco sarebbe secondo",
-    "nl": "de het een en is van in dat op te zijn met voor niet aan er om ook als dan maar bij door over naar uit nog wordt was werd deze dit geen meer kan heeft wel tot hun zou onder sinds",
-}
-_WORDS_OF = {w: [k for k, v in FUNCTION_WORDS.items() if w in v.split()] for v in FUNCTION_WORDS.values() for w in v.split()}
-# Ranges of scripts that name a language or a group of languages.
-SCRIPTS = [("ja", r"[぀-ヿ]"), ("zh", r"[㐀-鿿豈-﫿]"), ("ru", r"[Ѐ-ԯ]"), ("ko", r"[가-힯ᄀ-ᇿ]"), ("ar", r"[؀-ۿ]"), ("el", r"[Ͱ-Ͽ]"), ("he", r"[֐-׿]"), ("th", r"[฀-๿]"), ("hi", r"[ऀ-ॿ]")]
-
-_FOREIGN = re.compile("[" + "".join(signs[1:-1] for _, signs in SCRIPTS) + "]")
-
 _HEADING = re.compile(r"\s*(?:#{1,6}(?:\s.*)?|(?:\*\*|__)[^*_\n]{1,80}(?:\*\*|__)\s*:?|[\w ]{1,40}:)\s*")
 _QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|‹[^›\n]*›|「[^」\n]*」")
 _SENTENCES = re.compile(r"(?<=[.!?。！？;])\s*|\n+")
@@ -98,25 +87,35 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - rest.bit_count()
 
 
-def is_copy(answer: list[str], prompt: list[str]) -> bool:
-    """True if enough words of the answer stand in the prompt in the same order."""
+def is_copy(answer: list[str], prompt: list[str], counted: Counter) -> bool:
+    """True if enough words of the answer stand in the prompt in the same order; ``counted`` are the prompt's words."""
     if not answer or not prompt:
         return False
-    # Containment of one-word shingles bounds the common subsequence from above.
-    shared = sum((Counter(answer) & Counter(prompt)).values())
-    return shared >= COPY_SHARE * len(answer) and lcs_length(answer, prompt) >= COPY_SHARE * len(answer)
+    least = COPY_SHARE * len(answer)
+    # Containment of one-word shingles bounds the common subsequence from above; longer shingles would not.
+    if sum(w in counted for w in answer) < least or sum((Counter(answer) & counted).values()) < least:
+        return False
+    return lcs_length(answer, prompt) >= least
 
 
 def is_empty(text: str | None) -> bool:
     if text is None:
         return True
-    lines = [x for x in re.split(r"[\n\r  ]+", text) if x.strip() and not _HEADING.fullmatch(x)]
-    return " ".join(re.findall(r"[^\W_]+", " ".join(lines).lower())) in PLACEHOLDERS
+    found: list[str] = []
+    for line in re.split(r"[\n\r\u2028\u2029]+", text):
+        if line.strip() and not _HEADING.fullmatch(line):
+            found += re.findall(r"[^\W_]+", line.lower())
+            if len(found) > MOST_PLACEHOLDER_WORDS:
+                return False
+    return " ".join(found) in PLACEHOLDERS
 
 
 def is_refusal(text: str) -> bool:
     """True if a sentence outside quotation marks aligns with a refusal template."""
-    plain = _QUOTED.sub(" ", text.replace("’", "'")).lower()
+    plain = text.replace("’", "'").lower()
+    if not _HINT.search(plain):
+        return False
+    plain = _QUOTED.sub(" ", plain)
     for sentence in _SENTENCES.split(plain):
         if not _HINT.search(sentence):  # every template needs one of these
             continue
@@ -127,7 +126,8 @@ def is_refusal(text: str) -> bool:
         sentence = re.sub(_REFUSE, " REFUSE ", sentence)
         tokens = re.findall(r"\w+", re.sub(_ACT, " ACT ", sentence))
         if "SELF" in tokens or "REFUSE" in tokens or "my" in tokens or "me" in tokens or "answer" in tokens or "ACT" in tokens:
-            if any(_aligned(tokens, t) for t in REFUSALS):
+            held = set(tokens)
+            if any(held.issuperset(t) and _aligned(tokens, t) for t in REFUSALS):
                 return True
     return False
 
@@ -151,33 +151,6 @@ def _aligned(tokens: list[str], template: list[str]) -> bool:
     return False
 
 
-def language(text: str) -> str | None:
-    """The language most words of a text stand in, by its sentences; None if nothing tells."""
-    totals: Counter = Counter()
-    foreign = _FOREIGN.search(text)
-    for sentence in _SENTENCES.split(text):
-        scripts = {name: len(re.findall(signs, sentence)) if foreign else 0 for name, signs in SCRIPTS}
-        latin = len(re.findall(r"[A-Za-zÀ-ɏ]", sentence))
-        script, n = max(scripts.items(), key=lambda x: x[1])
-        if scripts["ja"]:
-            script, n = "ja", scripts["ja"] + scripts["zh"]
-        if script in ("zh", "ja", "ko", "th"):
-            n *= 3  # a sign stands for more than a letter
-        if n and n > latin * 0.5:
-            totals[script] += max(1, n // 5)
-            continue
-        own = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", sentence.lower().replace("’", "'"))
-        hits: Counter = Counter()
-        for w in own:
-            for name in _WORDS_OF.get(w, ()):
-                hits[name] += 1 / len(_WORDS_OF[w])
-        if hits:
-            (first, most), *rest = hits.most_common(2)
-            if not rest or most > rest[0][1]:
-                totals[first] += len(own)
-    return totals.most_common(1)[0][0] if totals else None
-
-
 def is_truncated(text: str) -> bool:
     s = text.rstrip()
     return not _FINISHED.search(s) or bool(_DOTS.search(s))
@@ -186,51 +159,56 @@ def is_truncated(text: str) -> bool:
 class Prompt:
     """The words of each prompt text and the language of the reference, worked out once for all answers."""
 
-    def __init__(self, prompts: list[str | None], reference: str | None):
-        self.words = [words(p) for p in prompts if p]
-        self.language = language(reference) if reference else None
+    def __init__(self, prompts: list[str | None], reference: str | None, languages: Languages):
+        self.words = [(own, Counter(own)) for own in (words(p) for p in prompts if p)]
+        self.languages = languages
+        self.language = languages.of(reference) if reference else None
 
 
 def defect(answer: str | None, prompt: Prompt) -> str | None:
     """The defect of an answer, at most one, in this order: empty, refusal, copy, language, truncated.
 
-    Null prompts are no ground for a defect.
+    Null prompts are no ground for a defect, nor is a text without words.
     """
     if is_empty(answer):
         return "empty"
     if is_refusal(answer):
         return "refusal"
     own = words(answer)
-    if any(is_copy(own, p) for p in prompt.words):
+    if any(is_copy(own, p, counted) for p, counted in prompt.words):
         return "copy"
-    if prompt.language and (language(answer) or prompt.language) != prompt.language:
+    if prompt.language and (prompt.languages.of(answer) or prompt.language) != prompt.language:
         return "language"
     return "truncated" if is_truncated(answer) else None
 
 
-def defects(df: DataFrame, identifier: str, answers: dict[str, Column], prompts: list[str], reference: str) -> DataFrame:
+def defects(df: DataFrame, identifier: str, answers: dict[str, Column], prompts: list[str], reference: str, languages: Languages) -> DataFrame:
     """``(identifier, field_name, defect)`` of every defective answer; an identifier counts once.
 
-    ``answers`` maps field names to columns. Null identifiers are left out.
-    Each row is judged by itself and in whole; only found defects are shuffled,
-    to drop repeated ones. An empty input gives an empty result.
+    ``answers`` maps field names to columns. ``languages`` is a fitted model of
+    bounded size. Null identifiers are left out. Each row is judged by itself
+    and in whole; only found defects are shuffled, to drop repeated ones. An
+    empty input gives an empty result.
     """
     names = list(answers)
     picked = df.select(F.col(identifier).alias("id"), *(c.alias(f"a{i}") for i, c in enumerate(answers.values())), *(F.col(p).alias(f"p{i}") for i, p in enumerate(prompts)), F.col(reference).alias("reference")).filter("id is not null")
     n_prompts = len(prompts)
+    shared = df.sparkSession.sparkContext.broadcast(languages)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            data = batch.to_pydict()
+            columns = {n: batch.column(n).to_pylist() for n in batch.schema.names if n != "id"}
             rows, fields, kinds = [], [], []
             for i in range(batch.num_rows):
-                prompt = Prompt([data[f"p{k}"][i] for k in range(n_prompts)], data["reference"][i])
+                prompt = Prompt([columns[f"p{k}"][i] for k in range(n_prompts)], columns["reference"][i], model)
                 for k, name in enumerate(names):
-                    if kind := defect(data[f"a{k}"][i], prompt):
+                    if kind := defect(columns[f"a{k}"][i], prompt):
                         rows.append(i)
                         fields.append(name)
                         kinds.append(kind)
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), pa.array(fields, pa.string()), pa.array(kinds, pa.string())], names=["id", "field_name", "defect"])
 
     kind = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(judge, f"id {kind}, field_name string, defect string").dropDuplicates(["id", "field_name"]).withColumnRenamed("id", identifier)
+    found = picked.mapInArrow(judge, f"id {kind}, field_name string, defect string")
+    return found.groupBy("id", "field_name").agg(F.min("defect").alias("defect")).withColumnRenamed("id", identifier)

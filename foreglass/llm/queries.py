@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.llm.cutoff import cutoffs
 from foreglass.llm.defects import defects
+from foreglass.llm.language import Languages, labelled_sample
 from foreglass.llm.leaks import leaks
 from foreglass.llm.pieces import pieces
 from foreglass.llm.raking import RakedSample
@@ -104,7 +105,8 @@ def p5_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unusable answers with their kind of defect."""
     answers = {name: F.col(f"augmented_rationale.{name}") for name in ("source_analysis", "market_analysis", "rationale")}
-    return defects(read(spark, sf_dir, "augmented_reasoning"), "aug_id", answers, ["title", "original_rationale"], "original_rationale")
+    languages = Languages.fit(*labelled_sample(read(spark, sf_dir, "documents"), "doc_id", "text", "lang"))
+    return defects(read(spark, sf_dir, "augmented_reasoning"), "aug_id", answers, ["title", "original_rationale"], "original_rationale", languages)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from foreglass.llm.defects import Prompt, defect, defects, language, lcs_length
+from foreglass.llm.defects import Prompt, defect, defects, lcs_length
+from foreglass.llm.language import LANGUAGES, OTHER, Languages, labelled_sample
 from foreglass.llm.leaks import LEAST_WORDS, aligned, leaks, plain_words, randomised_basis
 from foreglass.llm.truncation import significant_lengths, truncated, truncation_rates
 
@@ -66,25 +67,33 @@ FRENCH = "Les sources se contredisent et le cours de 31 centimes paraît dépass
     (FRENCH, "language"), ("两者之间的差距只剩下21分。 没有迹象表明活动会推迟。", "language"), ('A headline reads "' + FRENCH[:69] + '" but the desk gives no figure for it and the rest of the text is about the weather.', None),
     ("The sources are mixed and the pri", "truncated"), ("The sources are mixed and the…", "truncated"), ("The sources are mixed and the...", "truncated"), ("The sour", "truncated"), ("The sources are mixed, and the last one is old.", None),
 ])
-def test_defects(answer, kind):
-    assert defect(answer, Prompt([TITLE, ORIGINAL], ORIGINAL)) == kind
+def test_defects(languages, answer, kind):
+    assert defect(answer, Prompt([TITLE, ORIGINAL], ORIGINAL, languages)) == kind
 
 
-def test_defects_without_prompts_and_long_texts():
-    assert defect(FRENCH, Prompt([None, None], None)) is None
+def test_defects_without_prompts_and_long_texts(languages):
+    assert defect(FRENCH, Prompt([None, None], None, languages)) is None
     long = " ".join(f"word{i} number {i} stands here." for i in range(20_000))
-    assert defect(long, Prompt([long + " More."], long)) == "copy"
-    assert language("123 456") is None and language(FRENCH) == "fr"
+    assert defect(long, Prompt([long + " More."], long, languages)) == "copy"
+    assert languages.of("123 456") is None and languages.of(FRENCH) == "fr"
+    assert languages.of("ขอบคุณสำหรับคำถามของคุณในวันนี้") == OTHER and Languages.fit([], []).of(FRENCH) is None
 
 
-def test_defects_of_a_table(spark):
+def test_languages_of_held_out_texts(spark, languages):
+    texts, labels = labelled_sample(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id", "text", "lang", 20)
+    assert len(texts) > 50 and max(map(labels.count, set(labels))) <= 20 and len(set(labels)) <= LANGUAGES
+    right = sum(languages.of(t) == label for t, label in zip(texts, labels, strict=True))
+    assert right >= 0.9 * len(texts)  # some labels are wrong
+
+
+def test_defects_of_a_table(spark, languages):
     schema = "aug_id int, title string, original_rationale string, augmented_rationale struct<source_analysis: string, rationale: string>, defect string"
     rows = [(1, TITLE, ORIGINAL, None, "x"), (1, TITLE, ORIGINAL, None, "x"), (2, None, None, ("Fine so far.", "cut o"), None), (None, TITLE, ORIGINAL, None, "x")]
     df = spark.createDataFrame(rows, schema)
     answers = {k: df[f"augmented_rationale.{k}"] for k in ("source_analysis", "rationale")}
-    got = sorted(map(tuple, defects(df, "aug_id", answers, ["title", "original_rationale"], "original_rationale").collect()))
+    got = sorted(map(tuple, defects(df, "aug_id", answers, ["title", "original_rationale"], "original_rationale", languages).collect()))
     assert got == [(1, "rationale", "empty"), (1, "source_analysis", "empty"), (2, "rationale", "truncated")]
-    assert defects(df.limit(0), "aug_id", answers, ["title"], "title").count() == 0
+    assert defects(df.limit(0), "aug_id", answers, ["title"], "title", languages).count() == 0
 
 
 NOUNS = "ferry quarry orchard telescope canal bell audit choir anchor lantern barrel bridge ticket jury bank crew petition tower reservoir clerk".split()
