@@ -2,9 +2,10 @@
 
 Method: latent semantic retrieval. A randomised SVD of the TF-IDF passages of
 corpus and items gives a latent space; passages of the corpus whose cosine to
-a passage of an item is high are candidates, and so are passages that share
-runs of words with an item, which no leak is without; a word alignment (longest
-common subsequence with a bound on errors) settles each of them.
+a passage of an item is high, looked up in clusters of the items' vectors, are
+candidates, and so are passages that share runs of words with an item, which no
+leak is without; word alignments (longest common subsequence with a bound on
+errors), many at a time, settle each of them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +31,15 @@ PASSAGE = 12
 STEP = 2
 RANK = 256
 LEAST_COSINE = 0.55
-#: Terms of the latent space; an item set with more distinct words is hashed into so many.
+#: Distinct words and passages of the items that are searched for together: the bound of the latent space and of the broadcast. More items are searched in several blocks.
 MAX_TERMS = 4096
-#: Rows of the item table that are held by each task.
-MAX_ITEMS = 100_000
+MAX_PASSAGES = 50_000
+#: Bytes of item text that the driver cuts into blocks at a time, about.
+CHUNK_BYTES = 4 << 20
+#: Clusters of item passages that a passage of the corpus is compared with; their number is the root of the number of passages.
+PROBES = 8
+#: Alignments worked out together.
+TOGETHER = 256
 #: Words searched together.
 BLOCK_WORDS = 100_000
 
@@ -73,35 +78,52 @@ def plain_words(text: str) -> list[str]:
 
 @dataclass
 class Items:
-    """The evaluation items as word numbers; ``terms`` leads from a word to its number from 1 on."""
+    """A block of evaluation items as word numbers; ``terms`` leads from a word to its number from 1 on. Ids repeat for the parts of a long item."""
 
     ids: list
     words: list[np.ndarray]
     terms: dict[str, int]
 
-    @classmethod
-    def read(cls, items: DataFrame, identifier: str, text: str) -> Items:
-        """Items of at least ``LEAST_WORDS`` words; repeated ids and null texts are left out. The table is bounded by ``MAX_ITEMS``."""
-        rows = items.select(F.col(identifier).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null").dropDuplicates(["id", "text"]).limit(MAX_ITEMS + 1).collect()
-        if len(rows) > MAX_ITEMS:
-            raise ValueError(f"more than {MAX_ITEMS} items")
-        terms: dict[str, int] = {}
-        ids, words = [], []
-        for row in sorted(rows, key=lambda r: r.id):
-            own = plain_words(row.text)
-            if len(own) >= LEAST_WORDS:
-                ids.append(row.id)
-                words.append(np.array([terms.setdefault(w, len(terms) + 1) for w in own], np.int32))
-        return cls(ids, words, terms)
-
     @property
     def size(self) -> int:
         """Terms of the latent space, with 0 for words of no item."""
-        return min(len(self.terms), MAX_TERMS) + 1
+        return len(self.terms) + 1
+
 
-    def latent(self, words: np.ndarray) -> np.ndarray:
-        """Word numbers as terms of the latent space."""
-        return words if len(self.terms) <= MAX_TERMS else np.where(words > 0, (words.astype(np.int64) * 2654435761 % 2**32) % MAX_TERMS + 1, 0)
+def item_parts(own: list[str], terms: int, passages: int) -> Iterator[list[str]]:
+    """An item in parts of at most so many distinct words and passages. They overlap by twice the longest passage that decides a leak, so none is lost."""
+    overlap = 4 * LEAST_WORDS
+    most = max(overlap + LEAST_WORDS, min(terms, passages * STEP))
+    for begin in range(0, max(1, len(own) - overlap), most - overlap):
+        yield own[begin:begin + most]
+
+
+def item_blocks(items: DataFrame, identifier: str, text: str, most_terms: int = MAX_TERMS, most_passages: int = MAX_PASSAGES, chunk: int = CHUNK_BYTES) -> Iterator[Items]:
+    """The items of at least ``LEAST_WORDS`` words in blocks of bounded size; null ids and texts are left out, repeated rows count once.
+
+    The driver reads the table in chunks by the hash of the id, each of about
+    ``chunk`` bytes, however large the table is.
+    """
+    rows = items.select(F.col(identifier).alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(1, -(-size // chunk))
+    block = Items([], [], {})
+    passages = 0
+    for number in range(chunks):
+        part = rows if chunks == 1 else rows.filter(F.pmod(F.xxhash64("id"), F.lit(chunks)) == number)
+        for row in sorted(part.distinct().collect(), key=lambda r: (r.id, r.text)):
+            for own in item_parts(plain_words(row.text), most_terms, most_passages):
+                if len(own) < LEAST_WORDS:
+                    continue
+                new = {w for w in own if w not in block.terms}
+                if block.ids and (len(block.terms) + len(new) > most_terms or passages + len(own) // STEP + 1 > most_passages):
+                    yield block
+                    block, passages = Items([], [], {}), 0
+                block.ids.append(row.id)
+                block.words.append(np.array([block.terms.setdefault(w, len(block.terms) + 1) for w in own], np.int32))
+                passages += len(own) // STEP + 1
+    if block.ids:
+        yield block
 
 
 def numbered(documents: DataFrame, identifier: str, text: str, terms) -> DataFrame:
@@ -125,7 +147,7 @@ def _passages(words: np.ndarray) -> np.ndarray:
     return np.pad(words, (0, -len(words) % PASSAGE)).reshape(-1, PASSAGE)
 
 
-def term_statistics(texts: DataFrame, size: int, latent) -> tuple[np.ndarray, int]:
+def term_statistics(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """Passages of the corpus that hold each term, and the number of passages, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +155,7 @@ def term_statistics(texts: DataFrame, size: int, latent) -> tuple[np.ndarray, in
         total = 0
         for batch in batches:
             for row in batch.column("words"):
-                p = np.sort(_passages(latent(row.values.to_numpy(zero_copy_only=False))), axis=1)
+                p = np.sort(_passages(row.values.to_numpy(zero_copy_only=False)), axis=1)
                 first = np.ones(p.shape, bool)
                 first[:, 1:] = p[:, 1:] != p[:, :-1]
                 held += np.bincount(p[first], minlength=size)
@@ -156,14 +178,15 @@ def _normal_matrix(p: np.ndarray, idf: np.ndarray, size: int) -> np.ndarray:
     norm = np.sqrt((weights**2).sum(axis=1, keepdims=True))
     weights = np.where(p > 0, weights / norm, 0)
     out = np.zeros(size * size)
-    for a in range(PASSAGE):
-        for b in range(PASSAGE):
-            use = (p[:, a] > 0) & (p[:, b] > 0)
-            out += np.bincount(p[use, a].astype(np.int64) * size + p[use, b], weights[use, a] * weights[use, b], size * size)
+    for at in range(0, len(p), 10_000):
+        terms, w = p[at:at + 10_000].astype(np.int64), weights[at:at + 10_000]
+        cells, products = terms[:, :, None] * size + terms[:, None, :], w[:, :, None] * w[:, None, :]
+        use = products > 0
+        out += np.bincount(cells[use], products[use], size * size)
     return out
 
 
-def corpus_matrix(texts: DataFrame, idf, size: int, latent) -> np.ndarray:
+def corpus_matrix(texts: DataFrame, idf, size: int) -> np.ndarray:
     """The normal matrix of all passages of the corpus. Each task sums its own; what is collected is bounded by ``MAX_TERMS`` squared."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +194,7 @@ def corpus_matrix(texts: DataFrame, idf, size: int, latent) -> np.ndarray:
         out, held, n = np.zeros(size * size), [], 0
         for batch in batches:
             for row in batch.column("words"):
-                p = _passages(latent(row.values.to_numpy(zero_copy_only=False)))
+                p = _passages(row.values.to_numpy(zero_copy_only=False))
                 held.append(p[(p > 0).any(axis=1)])
                 n += len(held[-1])
                 if n > 50_000:
@@ -216,27 +239,34 @@ def _vectors(words: np.ndarray, begins: np.ndarray, basis: np.ndarray, idf: np.n
     return (basis[terms].sum(axis=1) / length).astype(np.float32)
 
 
-def aligned(text: np.ndarray, item: np.ndarray, least: int = LEAST_WORDS, per_error: int = WORDS_PER_ERROR) -> bool:
-    """True if ``least`` or more successive words of the item stand in the text with at most one word in ``per_error`` changed, missing or added.
+def aligned(texts: list[np.ndarray], items: list[np.ndarray], least: int = LEAST_WORDS, per_error: int = WORDS_PER_ERROR) -> np.ndarray:
+    """For each text and item: whether ``least`` or more successive words of the item stand in the text with at most one word in ``per_error`` changed, missing or added.
 
-    Longest alignments by number of errors, row by row. A stretch of twice
-    ``least`` words can be halved without raising its error rate in one of the
-    halves, so two errors are enough to look at.
+    Longest alignments by number of errors, row by row for all pairs at once. A
+    stretch of twice ``least`` words can be halved without raising its error
+    rate in one of the halves, so two errors are enough to look at.
     """
     errors = (2 * least - 1) // per_error
-    needs = [max(least, per_error * e) for e in range(errors + 1)]
-    before = np.zeros((errors + 1, len(item) + 1), np.int32)
+    needs = np.array([max(least, per_error * e) for e in range(errors + 1)])
+    rows, columns = max(map(len, texts)), max(map(len, items))
+    kind = np.int16 if columns < 30_000 else np.int32
+    text = np.zeros((rows, len(texts), 1), np.int32)  # 0 matches nothing and, after the end, adds nothing that a missing word does not
+    item = np.full((len(items), columns), -1, np.int32)
+    for i, (t, w) in enumerate(zip(texts, items, strict=True)):
+        text[:len(t), i, 0], item[i, :len(w)] = t, w
+    inside = (item >= 0).astype(kind)
+    before = np.zeros((errors + 1, len(items), columns + 1), kind)
+    best, now = before.copy(), before.copy()
     for word in text:
-        now = np.zeros_like(before)
-        match = item == word if word > 0 else np.zeros(len(item), bool)
-        now[0, 1:] = np.where(match, before[0, :-1] + 1, 0)
+        match = (item == word) & (word > 0)
+        now[0, :, 1:] = np.where(match, before[0, :, :-1] + 1, 0)
         for e in range(1, errors + 1):
-            changed, missing, added = before[e - 1, :-1] + 1, now[e - 1, :-1] + 1, before[e - 1, 1:]
-            now[e, 1:] = np.maximum(np.where(match, before[e, :-1] + 1, changed), np.maximum(missing, added))
-        if any(now[e].max() >= needs[e] for e in range(errors + 1)):
-            return True
-        before = now
-    return False
+            changed = np.where(match, before[e, :, :-1], before[e - 1, :, :-1]) + 1
+            other = np.maximum(now[e - 1, :, :-1] + 1, before[e - 1, :, 1:])
+            now[e, :, 1:] = np.maximum(changed, other) * inside
+        np.maximum(best, now, out=best)
+        before, now = now, before
+    return (best.max(axis=2) >= needs[:, None]).any(axis=0)
 
 
 def _runs(words: np.ndarray, n: int = 5) -> np.ndarray:
@@ -248,34 +278,66 @@ def _runs(words: np.ndarray, n: int = 5) -> np.ndarray:
     return np.where((parts > 0).all(axis=1), (parts * parts * factors + parts).sum(axis=1), 0)
 
 
+class Clusters:
+    """Vectors of item passages in clusters around the root of their number of centres."""
+
+    def __init__(self, vectors: np.ndarray, seed: int = 42, turns: int = 5):
+        rng = np.random.default_rng(seed)
+        unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        self.centres = unit[rng.permutation(len(unit))[:max(1, int(np.sqrt(len(unit))))]] if len(unit) else unit
+        nearest = np.zeros(len(unit), np.int64)
+        for _ in range(turns if len(unit) else 0):
+            nearest = np.concatenate([(unit[i:i + 4096] @ self.centres.T).argmax(axis=1) for i in range(0, len(unit), 4096)])
+            sums = np.zeros_like(self.centres)
+            np.add.at(sums, nearest, unit)
+            norms = np.linalg.norm(sums, axis=1, keepdims=True)
+            self.centres = np.where(norms > 0, sums / np.maximum(norms, 1e-9), self.centres).astype(np.float32)
+        order = np.argsort(nearest, kind="stable")
+        ends = np.searchsorted(nearest[order], np.arange(len(self.centres) + 1))
+        self.members = [order[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        self.vectors = [np.ascontiguousarray(vectors[m].T) for m in self.members]
+
+    def near(self, x: np.ndarray, cosine: float, probes: int = PROBES) -> tuple[np.ndarray, np.ndarray]:
+        """``(row of x, member)`` of the pairs with a cosine from ``cosine`` on, looked for in each row's ``probes`` nearest clusters."""
+        if not len(self.centres) or not len(x):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        near = x @ self.centres.T
+        probes = min(probes, len(self.centres))
+        chosen = np.argpartition(-near, probes - 1, axis=1)[:, :probes]
+        order = np.argsort(chosen, axis=None, kind="stable")
+        cluster, row = chosen.ravel()[order], order // probes
+        edges = np.searchsorted(cluster, np.arange(len(self.centres) + 1))
+        rows, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for c in np.flatnonzero(np.diff(edges)):
+            own = row[edges[c]:edges[c + 1]]
+            r, m = np.nonzero(x[own] @ self.vectors[c] >= cosine)
+            rows.append(own[r])
+            members.append(self.members[c][m])
+        return np.concatenate(rows), np.concatenate(members)
+
+
 class Searcher:
-    """Finds the items in texts of word numbers."""
+    """Finds the items of a block in texts of word numbers."""
 
     def __init__(self, items: Items, idf: np.ndarray, basis: np.ndarray, cosine: float = LEAST_COSINE):
         self.items, self.idf, self.cosine = items, idf, cosine
         self.basis = np.ascontiguousarray(basis * idf[:, None], np.float32)
         self.basis[0] = 0
-        vectors, self.owner = [], []
-        for i, words in enumerate(items.words):
-            own = items.latent(words)
-            begins = windows(own, STEP)
-            vectors.append(_vectors(own, begins, self.basis, idf))
-            self.owner += [i] * len(begins)
-        self.vectors = np.concatenate(vectors).T if vectors else np.zeros((basis.shape[1], 0), np.float32)
-        self.owner = np.array(self.owner, np.int64)
+        begins = [windows(words, STEP) for words in items.words]
+        self.owner = np.repeat(np.arange(len(begins)), [len(b) for b in begins])
+        self.vectors = np.concatenate([np.zeros((0, basis.shape[1]), np.float32), *(_vectors(w, b, self.basis, idf) for w, b in zip(items.words, begins, strict=True))])
+        self.clusters = Clusters(self.vectors)
         self.runs = [np.unique(_runs(w)) for w in items.words]
         every = np.concatenate([np.zeros(0, np.int64), *self.runs])
         order = np.argsort(every, kind="stable")
         self.every_run, self.run_owner = every[order], np.repeat(np.arange(len(self.runs)), [len(r) for r in self.runs])[order]
 
-    def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """``(text, item, begins of the passages)`` with a cosine from ``cosine`` on."""
-        if not len(self.owner) or not texts:
-            return
+    def passages(self, texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(text, begin, latent vector)`` of the passages that could have a cosine from ``cosine`` on, some thousands at a time."""
         begins = [windows(t, STEP) for t in texts]
         source = np.repeat(np.arange(len(texts)), [len(b) for b in begins])
         starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
-        words = self.items.latent(np.concatenate(texts))
+        words = np.concatenate(texts)
         at = np.concatenate([b + s for b, s in zip(begins, starts, strict=True)])
         ends = np.minimum(at + PASSAGE, (starts + [len(t) for t in texts])[source])
         energy = self.idf[words] ** 2
@@ -283,86 +345,87 @@ class Searcher:
         whole = np.concatenate([[0.0], np.cumsum(energy)])
         # The cosine is at most the share of a passage's length that lies in item words.
         could = np.flatnonzero((own[ends] - own[at]) >= self.cosine**2 * (whole[ends] - whole[at]))
-        for chunk in np.array_split(could, max(1, len(could) // 1000)):
-            if not len(chunk):
-                continue
+        for first in range(0, len(could), 4000):
+            chunk = could[first:first + 4000]
             place = at[chunk][:, None] + np.arange(PASSAGE)
-            inside = place < ends[chunk][:, None]
-            terms = np.where(inside, words[np.minimum(place, len(words) - 1)], 0)
+            terms = np.where(place < ends[chunk][:, None], words[np.minimum(place, len(words) - 1)], 0)
             length = np.sqrt(np.maximum(whole[ends[chunk]] - whole[at[chunk]], 1e-9))[:, None]
-            score = (self.basis[terms].sum(axis=1) / length).astype(np.float32) @ self.vectors
-            rows, columns = np.nonzero(score >= self.cosine)
-            pairs = np.unique(np.stack([source[chunk][rows], self.owner[columns], at[chunk][rows] - starts[source[chunk][rows]]], axis=1), axis=0)
-            cuts = np.flatnonzero((np.diff(pairs[:, :2], axis=0) != 0).any(axis=1)) + 1
-            for group in np.split(pairs, cuts):
-                if len(group):
-                    yield int(group[0, 0]), int(group[0, 1]), group[:, 2]
+            yield source[chunk], at[chunk] - starts[source[chunk]], (self.basis[terms].sum(axis=1) / length).astype(np.float32)
+
+    def candidates(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Rows of ``(text, item, begin of the passage)`` with a cosine from ``cosine`` on."""
+        found = [np.zeros((0, 3), np.int64)]
+        for source, begin, x in self.passages(texts):
+            rows, members = self.clusters.near(x, self.cosine)
+            found.append(np.stack([source[rows], self.owner[members], begin[rows]], axis=1))
+        return np.concatenate(found)
 
-    def shared_runs(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """``(text, item, begins of runs)`` where two runs of five item words stand near each other.
+    def shared_runs(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Rows of ``(text, item, begin of the run)`` where two runs of five item words stand near each other.
 
         Every leak has them, whatever its cosine: 11 of 12 words in two
         unchanged parts hold three runs, 14 of 16 words in three parts two.
         """
-        if not texts:
-            return
         starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
         hashes = _runs(np.concatenate([x for t in texts for x in (t, np.zeros(1, t.dtype))]))
-        first = np.searchsorted(self.every_run, hashes, "left")
-        n = np.where(hashes != 0, np.searchsorted(self.every_run, hashes, "right") - first, 0)
-        at = np.repeat(np.arange(len(hashes)), n)
-        if not len(at):
-            return
+        some = np.flatnonzero(hashes)
+        first = np.searchsorted(self.every_run, hashes[some], "left")
+        n = np.searchsorted(self.every_run, hashes[some], "right") - first
+        at = np.repeat(some, n)
         item = self.run_owner[np.repeat(first - np.cumsum(n) + n, n) + np.arange(len(at))]
         source = np.searchsorted(starts, at, "right") - 1
         order = np.lexsort((at, item, source))
         source, item, at = source[order], item[order], at[order]
-        other = (np.diff(source) != 0) | (np.diff(item) != 0)
-        near = ~other & (np.diff(at) <= 2 * LEAST_WORDS)
-        use = np.append(near, False) | np.append(False, near)
-        source, item, at = source[use], item[use], at[use]
-        cuts = np.flatnonzero((np.diff(source) != 0) | (np.diff(item) != 0)) + 1
-        for group in np.split(np.arange(len(at)), cuts):
-            if len(group):
-                yield int(source[group[0]]), int(item[group[0]]), at[group] - starts[source[group[0]]]
-
-    def confirmed(self, text: np.ndarray, item: int, begins: np.ndarray) -> bool:
-        """True if the item stands in the text around one of the passages."""
-        words = self.items.words[item]
-        margin = 2 * LEAST_WORDS + PASSAGE
-        low, high = begins - margin, begins + PASSAGE + margin
-        cuts = np.flatnonzero(low[1:] > high[:-1]) + 1
-        for a, b in zip(np.split(low, cuts), np.split(high, cuts), strict=True):
-            part = text[max(0, int(a[0])):int(b[-1])]
-            # An alignment with so few errors has a run of five unchanged words.
-            if np.isin(_runs(part), self.runs[item][self.runs[item] != 0]).any() and aligned(part, words):
-                return True
-        return False
+        near = (np.diff(source) == 0) & (np.diff(item) == 0) & (np.diff(at) <= 2 * LEAST_WORDS)
+        use = np.append(near, False) | np.append(False, near) if len(at) else np.zeros(0, bool)
+        return np.stack([source[use], item[use], at[use] - starts[source[use]]], axis=1)
 
     def search(self, texts: list[np.ndarray]) -> list[tuple[int, int]]:
         """``(text, item)`` of every leak."""
+        if not texts or not self.items.ids:
+            return []
+        hits = np.unique(np.concatenate([self.candidates(texts), self.shared_runs(texts)]), axis=0)
+        if not len(hits):
+            return []
+        margin = 2 * LEAST_WORDS + PASSAGE
+        new = np.append(True, (np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) != 0) | (np.diff(hits[:, 2]) > 2 * margin + PASSAGE))
+        begins, ends = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(hits)) - 1
+        pairs = []
+        for a, b in zip(begins, ends, strict=True):
+            text, item = int(hits[a, 0]), int(hits[a, 1])
+            part = texts[text][max(0, hits[a, 2] - margin):hits[b, 2] + PASSAGE + margin]
+            # An alignment with so few errors has a run of five unchanged words.
+            if self._shares_run(part, item):
+                pairs.append((text, item, part))
+        # parts of like sizes are aligned together
+        pairs.sort(key=lambda x: (len(self.items.words[x[1]]) // 32, len(x[2])))
         found = set()
-        for text, item, begins in chain(self.candidates(texts), self.shared_runs(texts)):
-            if (text, item) not in found and self.confirmed(texts[text], item, begins):
-                found.add((text, item))
+        for at in range(0, len(pairs), TOGETHER):
+            some = pairs[at:at + TOGETHER]
+            yes = aligned([p for _, _, p in some], [self.items.words[i] for _, i, _ in some])
+            found |= {(t, i) for (t, i, _), ok in zip(some, yes, strict=True) if ok}
         return sorted(found)
 
+    def _shares_run(self, part: np.ndarray, item: int) -> bool:
+        own, runs = self.runs[item], _runs(part)
+        runs = runs[runs != 0]
+        at = np.searchsorted(own, runs)
+        return bool((own[np.minimum(at, len(own) - 1)] == runs).any())
+
 
 def latent_space(texts: DataFrame, items: Items, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     """``(idf, basis)`` from all passages of the corpus and, with the same total weight, of the items."""
     spark, size = texts.sparkSession, items.size
-    many = len(items.terms) > MAX_TERMS
-    hashed = Items([], [], dict.fromkeys(range(MAX_TERMS + 1), 0) if many else {})
-    held, total = term_statistics(texts, size, hashed.latent)
+    held, total = term_statistics(texts, size)
     idf = np.log1p((total + 1) / (held + 1))
     idf[0] = np.median(idf[1:]) if size > 1 else 1.0
-    corpus = corpus_matrix(texts, spark.sparkContext.broadcast(idf), size, hashed.latent)
-    own = sum((_normal_matrix(p, idf, size) for p in [_passages(items.latent(np.concatenate([w[k:] for w in items.words for k in (0, PASSAGE // 2)])))] if len(p)), np.zeros(size * size)).reshape(size, size)
+    corpus = corpus_matrix(texts, spark.sparkContext.broadcast(idf), size)
+    own = _normal_matrix(np.concatenate([_passages(w[k:]) for w in items.words for k in (0, PASSAGE // 2)]), idf, size).reshape(size, size)
     balance = np.trace(corpus) / np.trace(own) if np.trace(own) else 1.0
     return idf, randomised_basis(corpus + max(balance, 1e-9) * own, min(rank, size))
 
 
-def leaks(documents: DataFrame, identifier: str, text: str, items: DataFrame, item_identifier: str, item_text: str) -> DataFrame:
+def leaks(documents: DataFrame, identifier: str, text: str, items: DataFrame, item_identifier: str, item_text: str, most_terms: int = MAX_TERMS, most_passages: int = MAX_PASSAGES) -> DataFrame:
     """``(identifier, item_identifier)`` of every document that holds a passage of an item.
 
     A passage is at least ``LEAST_WORDS`` successive words of the item, with
@@ -370,28 +433,37 @@ def leaks(documents: DataFrame, identifier: str, text: str, items: DataFrame, it
     texts and ids are left out; a text or item with fewer words never matches;
     empty tables give an empty result. Documents are searched where they are:
     only word counts, cells of the normal matrix and found pairs are shuffled.
+    What is broadcast is one block of items, bounded by ``most_terms`` words
+    and ``most_passages`` passages; a larger table of items is searched block
+    by block, each over all documents.
     """
-    spark = documents.sparkSession
-    known = Items.read(items, item_identifier, item_text)
     kind, item_kind = documents.schema[identifier].dataType.simpleString(), items.schema[item_identifier].dataType.simpleString()
-    if not known.ids:
-        return spark.createDataFrame([], f"{identifier} {kind}, {item_identifier} {item_kind}")
-    texts = written(numbered(documents, identifier, text, spark.sparkContext.broadcast(known.terms)))
+    pairs = None
+    for block in item_blocks(items, item_identifier, item_text, most_terms, most_passages):
+        found = _block_leaks(documents, identifier, text, block, kind, item_kind)
+        pairs = found if pairs is None else written(pairs.union(found))
+    if pairs is None:
+        return documents.sparkSession.createDataFrame([], f"{identifier} {kind}, {item_identifier} {item_kind}")
+    return pairs.distinct().select(F.col("doc").alias(identifier), F.col("item").alias(item_identifier))
+
+
+def _block_leaks(documents: DataFrame, identifier: str, text: str, known: Items, kind: str, item_kind: str) -> DataFrame:
+    context = documents.sparkSession.sparkContext
+    texts = written(numbered(documents, identifier, text, context.broadcast(known.terms)))
     idf, basis = latent_space(texts, known)
-    shared = spark.sparkContext.broadcast((known.ids, known.words, known.terms, idf, basis))
+    shared = context.broadcast(Searcher(known, idf, basis))
     item_type = pa.array(known.ids).type
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, terms, weights, axes = shared.value
-        searcher = Searcher(Items(ids, words, terms), weights, axes)
+        searcher = shared.value
+        ids = searcher.items.ids
         for batch in batches:
             rows = [r.values.to_numpy(zero_copy_only=False) for r in batch.column("words")]
             ends = np.cumsum([len(r) for r in rows]) // BLOCK_WORDS
-            found, at = [], 0
+            found = []
             for group in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(ends)) + 1):
                 full = [g for g in group if len(rows[g]) >= LEAST_WORDS - 1]
                 found += [(full[t], i) for t, i in searcher.search([rows[g] for g in full])]
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array([t for t, _ in found], pa.int64())), pa.array([ids[i] for _, i in found], item_type)], names=["doc", "item"])
 
-    pairs = texts.mapInArrow(search, f"doc {kind}, item {item_kind}").distinct()
-    return pairs.select(F.col("doc").alias(identifier), F.col("item").alias(item_identifier))
+    return texts.mapInArrow(search, f"doc {kind}, item {item_kind}")

@@ -6,17 +6,12 @@ of each partition's edge groups are prefix-summed into exact positions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from foreglass.plans.prefix import group_positions, run_starts
+from foreglass.plans.prefix import BLOCK_ROWS, best_of_blocks, group_positions
 
 
-def top_n(df: DataFrame, group: str, order: list[str], n: int, block_rows: int = 200_000) -> DataFrame:
+def top_n(df: DataFrame, group: str, order: list[str], n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The first ``n`` distinct rows of each group by ``order``, all ascending, with their ``position``.
 
     ``order`` must end with an identifier, so that ties are settled the same
@@ -28,32 +23,5 @@ def top_n(df: DataFrame, group: str, order: list[str], n: int, block_rows: int =
     rows of a block, so a hot group shrinks to ``n`` rows for each block before
     anything is shuffled.
     """
-    keys = [group, *order]
-    df = df.select(*keys).filter(F.col(group).isNotNull())
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= block_rows:
-                yield from prune(held)
-                held, rows = [], 0
-        if rows:
-            yield from prune(held)
-
-    def prune(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        indices = pc.sort_indices(table, sort_keys=[(k, "ascending") for k in keys], null_placement="at_start")
-        table = table.take(indices).combine_chunks()
-        columns = [table.column(k).chunk(0) if table.column(k).num_chunks else None for k in keys]
-        fresh = np.zeros(table.num_rows, bool)
-        for column in columns:
-            fresh |= run_starts(column)
-        starts = run_starts(columns[0])
-        rank = np.cumsum(fresh)
-        base = np.maximum.accumulate(np.where(starts, rank, 0))
-        keep = fresh & (rank - base < n)
-        yield from table.filter(pa.array(keep)).to_batches()
-
-    return group_positions(df.mapInArrow(best, df.schema), group, order, keep=n)
+    rows = df.select(group, *order).filter(F.col(group).isNotNull())
+    return group_positions(best_of_blocks(rows, group, order, n, block_rows), group, order, keep=n)

@@ -140,7 +140,7 @@ def test_alignment_against_brute_force():
         text = [0, 5] + text + [7, 0]
         expected = edits(text, item)
         seen.add(expected)
-        assert aligned(np.array(text), np.array(item)) == expected, (text, item)
+        assert aligned([np.array(text)], [np.array(item)])[0] == expected, (text, item)
     assert seen == {True, False}
 
 
