@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import importlib
 import os
 import re
 from collections.abc import Iterable
@@ -45,6 +46,7 @@ class PipelineConfig(Settings):
     """All settings of a run. Unknown names are an error."""
 
     def __init__(self, values: dict | None = None):
+        importlib.import_module("foreglass.plans.runner")  # it and the stages declare the settings
         given = {k: v for k, v in (values or {}).items() if k not in _IGNORED}
         super().__init__(_merged(_DEFAULTS, given, ()))
 

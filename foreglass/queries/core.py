@@ -16,7 +16,7 @@ from foreglass.streaming.scoring import score_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = dict(nested.QUERIES)
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(nested.ORACLE)
 METRIC = "brier_score"
 
 
