@@ -98,6 +98,16 @@ def read_outcome(outcome: Column) -> Column:
     return F.transform_values(F.from_json(plain_json(outcome), "map<string, string>"), lambda _, v: v.try_cast("double"))
 
 
+def read_sources(sources: Column) -> Column:
+    """Title, summary and url of each source of a sources JSON in any notation, taken out of an outer ``sources``; empty where unreadable."""
+    listed = "array<struct<source_id: string, title: string, summary: string, url: string>>"
+
+    def inner(plain: Column) -> Column:
+        return F.coalesce(F.when(plain.rlike(r"^\s*\["), F.from_json(plain, listed)), F.from_json(plain, f"struct<sources: {listed}>")["sources"], F.array().cast(listed))
+
+    return _let(plain_json(sources), inner)
+
+
 def market_list_text(markets: Column) -> Column:
     """'A, B' from a JSON list of names or the names of a JSON object; else the text for no outcome."""
     listed = F.array_join(F.from_json(markets, "array<string>"), ", ")
@@ -169,10 +179,16 @@ def strict_probabilities(content: Column) -> Column:
 
 
 def probabilities_of(block: Column) -> Column:
-    """Market -> probability of a JSON text, taken out of an outer ``probabilities``; null if there is none."""
-    outer = F.from_json(block, "struct<probabilities: map<string,double>>")["probabilities"]
-    plain = F.from_json(block, "map<string,double>")
-    return F.coalesce(outer, F.when(F.forall(F.map_values(plain), lambda v: v.isNotNull()) & (F.size(plain) > 0), plain))
+    """Market -> probability of a JSON text in plain notation, an object or an array, taken out of an outer ``probabilities``.
+
+    Null if there is none, or if any of them is no number.
+    """
+    def inner(parsed: Column) -> Column:
+        outer = parsed["probabilities"]
+        return F.when(outer.rlike(r"^[{\[]"), outer).otherwise(block)
+
+    inside = _let(F.from_json(block, "map<string, string>"), inner)
+    return _let(read_probabilities(inside), lambda m: F.when((F.size(m) > 0) & F.forall(F.map_values(m), lambda v: v.isNotNull()), m))
 
 
 def mentions_leakage(rationale: Column) -> Column:

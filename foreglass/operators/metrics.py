@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foreglass.functions.vectors import total
 from foreglass.plans.prefix import exact_quantiles
+from foreglass.session import cut
 
 
 def brier(prediction: Column, outcome: Column) -> Column:
@@ -151,7 +152,8 @@ def score_summary(df: DataFrame, by: list[str] | None = None, score: str = "brie
     keys = list(by or [])
     stats = lambda c, prefix: [F.avg(c).alias(f"{prefix}mean"), F.min(c).alias(f"{prefix}min"), F.max(c).alias(f"{prefix}max"), F.stddev_samp(c).alias(f"{prefix}std")]
     median = lambda rows, c, prefix: exact_quantiles(rows, keys, c, [0.5]).select(*keys, F.col("quantiles")[0].alias(f"{prefix}median"))
-    rows = df.filter(F.col(score).isNotNull())
+    # read several times below, so what led to the scores runs once
+    rows = cut(df.filter(F.col(score).isNotNull()).select(*keys, "event_ticker", "submission_id", score))
     events = rows.groupBy(*keys, "event_ticker").agg(F.avg(score).alias("event_mean"))
     own = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_ticker").alias("n_events"), F.countDistinct("submission_id").alias("n_submissions"), *stats(score, ""))
     out = own

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foreglass.functions import text
 from foreglass.operators import analyze, enrich, ingest, metrics, ranking, sampling, selection, weights
-from foreglass.plans.judge import ask
+from foreglass.plans.judge import ask, evaluate, evaluate_models
 from foreglass.plans.prompts import REASONING, TITLE
 from foreglass.queries import nested
+from foreglass.queries.loose_sql import elements, loose
 from foreglass.queries.views import FORECASTS_SQL, MARKETS_SQL, SCORES_SQL, forecasts, markets, read, scores
+from foreglass.session import scratch_folder
 from foreglass.streaming.scoring import score_outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +37,11 @@ def six(name: str):
     return F.round(name, 6).alias(name)
 
 
+def nine(name: str):
+    """Scores of prices and probabilities with two decimals often end in a 5 at the seventh, where engines round apart."""
+    return F.round(name, 9).alias(name)
+
+
 def fx(*parts: str) -> str:
     return "with" + FORECASTS_SQL + "".join(f",\n {p}" for p in parts) + "\n"
 
@@ -384,13 +391,91 @@ def prediction_scan(spark, sf_dir):
     return rows.select("prediction_id", "forecaster", "event_ticker").distinct()
 
 
-@query()
+def _first(rows: DataFrame, key: str) -> DataFrame:
+    """One row for each key: the first by all columns in the order of their names."""
+    return selection.first_of(rows, [key], sorted(rows.columns))
+
+
+def _first_sql(table: str, key: str, columns: list[str]) -> str:
+    return f"select {', '.join(columns)} from (select *, row_number() over (partition by {key} order by {', '.join(f'{c} nulls first' for c in sorted(columns))}) rn from {table}) where rn = 1"
+
+
+_PREDICTION_COLUMNS = ["prediction_id", "submission_id", "forecaster", "event_ticker", "title", "round", "prediction", "created_at"]
+_SUBMISSION_COLUMNS = ["submission_id", "event_ticker", "title", "round", "snapshot_time", "close_time", "market_data", "market_outcome", "category"]
+_OUTPUT_COLUMNS = ["output_id", "model", "event_ticker", "submission_id", "market_outcome", "think", "content"]
+
+
+def _by_market(name: str, rows: str, json: str, value: str, scalar: str | None = None) -> str:
+    """``name(id, names, vals)``: the values of each record ordered by market, the last of repeated ones; records with unnamed elements are left out."""
+    one = f"case when json_type(e.value) = 'OBJECT' then {value}{f' else ({scalar})' if scalar else ''} end"
+    return f"""{name}_l as (select id, {elements(json, 'market').replace("else el->>'$'", "")} l from {rows}),
+ {name}_u as (select id, i, l[i].key k, l[i] e from {name}_l, unnest(generate_series(1, len(l))) s(i)),
+ {name}_v as (select id, k, i, try_cast({one} as double) v from {name}_u),
+ {name}_w as (select id, k, v from {name}_v where id not in (select id from {name}_v where k is null) qualify row_number() over (partition by id, k order by i desc) = 1),
+ {name} as (select id, list(k order by k) names, list(v order by k) vals from {name}_w group by id)"""
+
+
+_DOLLAR = "e.value->>'$'"
+_READ = f"""with {loose('pj', _first_sql('predictions', 'prediction_id', _PREDICTION_COLUMNS), 'prediction')},
+ {loose('mj', _first_sql('submissions', 'submission_id', _SUBMISSION_COLUMNS), 'market_data')},
+ {loose('oj', _first_sql('submissions', 'submission_id', _SUBMISSION_COLUMNS), 'market_outcome')},
+ pr as (select prediction_id id, case when json_type(j->'prediction') in ('OBJECT', 'ARRAY') then j->'prediction' else j end->'probabilities' pj from pj where json_type(j) = 'OBJECT'),
+ {_by_market('p', 'pr', 'pj', "e.value->>'probability'", _DOLLAR)},
+ mr as (select submission_id id, j from mj where j is not null), {_by_market('a', 'mr', 'j', "e.value->>'yes_ask'")},
+ os as (select submission_id id, j from oj where json_type(j) = 'OBJECT'), {_by_market('o', 'os', 'j', "null", _DOLLAR)},
+ nulls as (select 1)"""
+_SCORED_SQL = "case when len(list_filter(p.vals, lambda v: v is null)) + len(list_filter(o.vals, lambda v: v is null)) > 0 then null else list_sum(list_transform(list_zip(p.vals, o.vals), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / len(p.vals) end"
+
+
+@query(f"""{_READ},
+ f as (select l.forecaster, l.submission_id, l.event_ticker, l.round, {_SCORED_SQL} s from pj l join mj r on l.event_ticker = r.event_ticker and l.round = r.round
+  join p on p.id = l.prediction_id join a on a.id = r.submission_id join o on o.id = r.submission_id where len(p.vals) = len(a.vals) and len(p.vals) = len(o.vals))
+ select forecaster, event_ticker, submission_id, round, rank() over (partition by forecaster, event_ticker order by round desc) + (count(*) over (partition by forecaster, event_ticker, round) - 1) / 2.0e0 - 1 time_rank, round(s, 9) brier_score from f""")
 def forecasts_from_json(spark, sf_dir):
     """Predictions and submissions parsed and merged into vectors, with time ranks."""
-    predictions = read(spark, sf_dir, "predictions").dropDuplicates(["prediction_id"])
-    submissions = read(spark, sf_dir, "submissions").dropDuplicates(["submission_id"])
-    rows = ingest.parse_and_merge(predictions, submissions)
-    return metrics.with_brier(rows).select("forecaster", "event_ticker", "submission_id", "round", "time_rank", six("brier_score"))
+    rows = ingest.parse_and_merge(_first(read(spark, sf_dir, "predictions"), "prediction_id"), _first(read(spark, sf_dir, "submissions"), "submission_id"))
+    return metrics.with_brier(rows).select("forecaster", "event_ticker", "submission_id", "round", "time_rank", nine("brier_score"))
+
+
+_MARKET_SCORES = f"""{_READ}, named as (select o.id, o.vals, list_transform(o.names, lambda n: list_extract(a.vals, list_position(a.names, n)) / 100) prices from o left join a using (id)),
+ ms as (select id submission_id, case when len(list_filter(prices, lambda v: v is null)) + len(list_filter(vals, lambda v: v is null)) > 0 or prices is null then null else list_sum(list_transform(list_zip(prices, vals), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / len(vals) end s from named)"""
+
+
+def _market_scores(spark, sf_dir) -> DataFrame:
+    rows = _first(read(spark, sf_dir, "submissions"), "submission_id")
+    parsed = rows.select("submission_id", "event_ticker", text.read_prices(F.col("market_data")).alias("prices"), text.read_outcome(F.col("market_outcome")).alias("outcome"))
+    return parsed.select("submission_id", "event_ticker", metrics.market_brier(F.col("prices"), F.col("outcome")).alias("brier_score"))
+
+
+@query(f"{_MARKET_SCORES} select submission_id, event_ticker, round(s, 9) brier_score from oj left join ms using (submission_id)")
+def market_brier_scores(spark, sf_dir):
+    """What the market itself scored, by submission."""
+    return _market_scores(spark, sf_dir).select("submission_id", "event_ticker", nine("brier_score"))
+
+
+@query(f"{_MARKET_SCORES}, s as (select event_ticker, s from oj join ms using (submission_id) where s is not null) select count(*) n_valid, round(avg(s), 6) mean_score, (select round(avg(m), 6) from (select avg(s) m from s group by event_ticker)) event_mean_score, (select count(*) from (select distinct event_ticker from s)) n_events from s")
+def market_brier_summary(spark, sf_dir):
+    return metrics.event_mean(_market_scores(spark, sf_dir)).select("n_valid", six("mean_score"), six("event_mean_score"), "n_events")
+
+
+def _database(spark, sf_dir) -> dict[str, DataFrame]:
+    """Raw tables as a database holds them: each user's day is a snapshot with a submission by one agent; users with an outcome are known events."""
+    number = F.substring("event_ticker", 2, 20).cast("long")
+    rows = markets(spark, sf_dir).withColumn("created_at", (F.col("created_at").cast("timestamp") + F.make_dt_interval(secs=number)).cast("timestamp_ntz"))
+    ids = rows.select("event_ticker", "created_at").distinct().select(F.concat_ws("/", "event_ticker", F.date_format("created_at", "yyyyMMdd")).alias("submission_id"), "event_ticker", F.col("created_at").alias("snapshot_time"))
+    outcome = F.when(number % 3 != 0, F.lit('{"click": 1}'))
+    events = rows.select("event_ticker").distinct().select("event_ticker", F.lit("t").alias("title"), outcome.alias("market_outcome"), F.lit("c").alias("category"), F.lit(None).cast("string").alias("close_time"))
+    predictions = ids.select("submission_id", "event_ticker", F.lit("agent-1").alias("forecaster"), F.lit("{}").alias("prediction"), F.col("snapshot_time").alias("created_at"))
+    return {"predictions": predictions, "submissions": ids.drop("event_ticker"), "markets": rows, "events": events}
+
+
+@query(mk("known as (select * from vm where cast(substring(event_ticker, 2) as bigint) % 3 != 0)", *[c.replace(" vm ", " known ") for c in _CANON]) + "select concat(event_ticker, '/', strftime(created_at, '%Y%m%d')) submission_id, event_ticker, row_number() over (partition by event_ticker order by created_at) - 1 round, n n_markets from complete")
+def rounds_from_database(spark, sf_dir):
+    """Raw tables through rounds and snapshots to predictions and submissions."""
+    tables = ingest.load(**_database(spark, sf_dir), agents_only=True)
+    markets_of = F.size(F.from_json("market_data", "map<string, string>")).cast("long")
+    sizes = tables["submissions"].select("submission_id", markets_of.alias("n_markets"))
+    return tables["predictions"].join(sizes, "submission_id").select("submission_id", "event_ticker", F.col("round").cast("long").alias("round"), "n_markets")
 
 
 _SRC = "pairs as (select distinct concat('O', cast(l_orderkey as varchar)) submission_id, l_partkey from lineitem), src as (select distinct submission_id, p_name url, p_type summary, p_brand contributor, p_name title from pairs join part on l_partkey = p_partkey)"
@@ -498,12 +583,85 @@ def sft_messages(spark, sf_dir):
     return rows.select("aug_id", F.size("messages").cast("long").alias("n_messages"), last["role"].alias("last_role"), F.md5(last["content"]).alias("answer"))
 
 
-@query("with i as (select distinct event_ticker, title, rules from event_info) select event_ticker, 2::bigint n_messages, md5(concat('Event: ', title, '\nPossible outcomes: ', 'A, B', '\n\nSources:\n', '', '\n\nGive your reasoning, then your probabilities.')) user_text from i")
+_PRICES = ", ".join(f"""'"{x}":' || cast(try_cast(e.value->>'{x}' as double) as varchar)""" for x in text.PRICE_FIELDS)
+_SOURCE_ROWS = "select submission_id, min(sources) sources from sampled_rows where submission_id is not null and sources is not null group by 1"
+_RL_SQL = f"""with {loose('mj', _first_sql('submissions', 'submission_id', _SUBMISSION_COLUMNS), 'market_data')},
+ {loose('oj', _first_sql('submissions', 'submission_id', _SUBMISSION_COLUMNS), 'market_outcome')},
+ {loose('sj', _SOURCE_ROWS, 'sources')},
+ ml as (select submission_id, {elements('j', 'market').replace("else el->>'$'", "")} l from mj where j is not null),
+ mu as (select submission_id, i, l[i] e from ml, unnest(generate_series(1, len(l))) s(i)),
+ mt as (select submission_id, '{{' || string_agg(to_json(e.key) || ':{{' || concat_ws(',', {_PRICES}) || '}}', ',' order by i) || '}}' prices from mu group by 1),
+ st as (select submission_id, string_agg('[' || i || '] ' || coalesce(l[i]->>'title', '') || ': ' || coalesce(l[i]->>'summary', ''), chr(10) order by i) lines
+  from (select submission_id, cast(case when json_type(j->'sources') = 'ARRAY' then j->'sources' else j end as json[]) l from sj where json_type(j) = 'ARRAY' or json_type(j->'sources') = 'ARRAY'), unnest(generate_series(1, len(l))) s(i) group by 1),
+ u as (select o.submission_id, o.event_ticker, 'Event: ' || coalesce(o.title, '') || chr(10) || 'Possible outcomes: ' || array_to_string(coalesce(json_keys(o.j), []), ', ') || chr(10) || chr(10) || 'Sources:' || chr(10) || coalesce(lines, '')
+  || case when length(coalesce(prices, '')) > 2 then chr(10) || chr(10) || 'Market prices:' || chr(10) || prices else '' end || chr(10) || chr(10) || 'Give your reasoning, then your probabilities.' t from oj o left join mt using (submission_id) left join st using (submission_id))"""
+
+
+def _problems(spark, sf_dir) -> DataFrame:
+    """The prompt of each submission from its title, outcomes, sources and prices."""
+    rows = _first(read(spark, sf_dir, "submissions"), "submission_id").select("submission_id", "event_ticker", "title", text.read_outcome(F.col("market_outcome")).alias("market_outcome"), text.read_prices(F.col("market_data")).alias("market_data"))
+    sources = read(spark, sf_dir, "sampled_rows").filter("submission_id is not null and sources is not null").groupBy("submission_id").agg(F.min("sources").alias("sources"))
+    told = sources.select("submission_id", text.read_sources(F.col("sources")).alias("sources"))
+    joined = rows.join(told, "submission_id", "left")
+    outcomes = F.coalesce(F.array_join(F.map_keys("market_outcome"), ", "), F.lit(""))
+    return joined.withColumn("prompt", text.user_prompt(F.coalesce("title", F.lit("")), outcomes, F.coalesce(text.sources_text(F.col("sources")), F.lit("")), F.to_json("market_data")))
+
+
+@query(f"{_RL_SQL} select submission_id, event_ticker, 2::bigint n_messages, md5(t) user_text from u")
 def rl_messages(spark, sf_dir):
-    events = read(spark, sf_dir, "event_info").select("event_ticker", "title", "rules").distinct()
-    prompt = text.user_prompt(F.col("title"), F.lit("A, B"), F.lit(""), F.lit(None).cast("string"))
-    rows = events.withColumn("messages", text.chat(F.lit("system text"), prompt))
-    return rows.select("event_ticker", F.size("messages").cast("long").alias("n_messages"), F.md5(F.col("messages")[1]["content"]).alias("user_text"))
+    """Chats without an answer, with the outcomes, sources and prices of each submission."""
+    rows = _problems(spark, sf_dir).withColumn("messages", text.chat(F.lit("system text"), F.col("prompt")))
+    return rows.select("submission_id", "event_ticker", F.size("messages").cast("long").alias("n_messages"), F.md5(F.col("messages")[1]["content"]).alias("user_text"))
+
+
+def _shout(messages: list[dict]) -> dict:
+    """Stands for a model: answers with the prompt's last part, and fails for some prompts."""
+    if len(messages[-1]["content"]) % 17 == 0:
+        raise ValueError("could not parse")
+    return {"content": messages[-1]["content"][-30:].upper(), "reasoning": messages[0]["role"]}
+
+
+_ANSWERED = "case when length(t) % 17 = 0 then null else upper(right(t, 30)) end content, case when length(t) % 17 = 0 then null else 'system' end reasoning, case when length(t) % 17 = 0 then 'parse_error' end error_type from u"
+
+
+@query(f"{_RL_SQL} select submission_id, {_ANSWERED}")
+def evaluate_rows(spark, sf_dir):
+    """A model asked once for each submission; failed requests keep their row."""
+    rows = _problems(spark, sf_dir).withColumn("messages", text.chat(F.lit("system text"), F.col("prompt"), F.lit("expected")))
+    return evaluate(rows, _shout, keep=("submission_id",), retries=0)
+
+
+@query(f"{_RL_SQL} select unnest(['org/a:1', 'b']) model, submission_id, {_ANSWERED}")
+def evaluate_many_models(spark, sf_dir):
+    """Two models and one that does not start: its error stops nothing."""
+    def broken():
+        raise RuntimeError("no server")
+
+    rows = _problems(spark, sf_dir).withColumn("messages", text.chat(F.lit("system text"), F.col("prompt")))
+    models = {"org/a:1": lambda: _shout, "down": broken, "b": lambda: _shout}
+    return evaluate_models(rows, models, scratch_folder(spark), keep=("submission_id",), retries=0)[0]
+
+
+@query(f"with o as ({_first_sql('model_outputs', 'output_id', _OUTPUT_COLUMNS)}) select output_id, event_ticker, submission_id, md5(content) content from o")
+def pasted_outputs(spark, sf_dir):
+    """Ids and outputs side by side by their row number."""
+    rows = _first(read(spark, sf_dir, "model_outputs"), "output_id")
+    return enrich.paste(rows.select("output_id", "event_ticker", "submission_id"), rows.select("output_id", F.md5("content").alias("content")), "output_id")
+
+
+@query("""with r as (select distinct event_ticker, submission_id from sampled_rows), t as (select distinct event_ticker, title augmented_title from event_info), e as (select distinct event_ticker, rules from event_info),
+ us as (select distinct submission_id, cast(length(title) % 25 as bigint) source_id from submissions where submission_id is not null and title is not null),
+ l as (select submission_id, string_agg(concat_ws('|', n_name, n_nationkey, n_regionkey), ';' order by n_name) sources from us join nation on source_id = n_nationkey group by 1)
+ select submission_id, event_ticker, augmented_title, rules, coalesce(sources, '') sources from r left join t using (event_ticker) left join e using (event_ticker) left join l using (submission_id)""")
+def sampled_with_details(spark, sf_dir):
+    """Sampled rows with title, rules and sources; nations stand for the sources."""
+    sampled = read(spark, sf_dir, "sampled_rows").select("event_ticker", "submission_id").distinct()
+    events = read(spark, sf_dir, "event_info")
+    usage = read(spark, sf_dir, "submissions").filter("submission_id is not null and title is not null").select("submission_id", (F.length("title") % 25).cast("long").alias("source_id"))
+    sources = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("source_id"), F.col("n_name").alias("summary"), F.col("n_regionkey").cast("string").alias("title"), F.lit(None).cast("double").alias("popularity_score"), F.lit(None).cast("string").alias("url"))
+    rows = enrich.sampled_with_details(sampled, events.select("event_ticker", F.col("title").alias("augmented_title")), events, usage, sources)
+    listed = F.from_json("sources", "array<struct<summary: string, source_id: string, title: string>>")
+    return rows.withColumn("sources", F.array_join(F.transform(listed, lambda s: F.concat_ws("|", s["summary"], s["source_id"], s["title"])), ";"))
 
 
 @query(f"with {_AUG}, {_KEPT} select aug_id, 2::bigint n_messages, 'user' last_role from k where " + " and ".join(f"{f} is not null" for f in _FIELDS))
@@ -532,17 +690,46 @@ def parse_probabilities(spark, sf_dir):
     return rows.select("output_id", F.md5(text.tagged_probabilities(F.col("content"))).alias("block"))
 
 
-@query()
+_STRIPPED = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+_OUTPUT_SCORES = f"""with mo as ({_first_sql('model_outputs', 'output_id', _OUTPUT_COLUMNS)}),
+ x as (select *, case when contains(content, '</think>') then {_STRIPPED.format("substr(content, strpos(content, '</think>') + 8)")} else {_STRIPPED.format('content')} end c from mo),
+ y as (select *, regexp_extract(c, '<probabilities>([^\\n]*)</probabilities>', 1) inl from x),
+ z as (select *, {_STRIPPED.format("case when length(inl) > 0 then inl when contains(c, '</probabilities>') then regexp_replace(split_part(c, '</probabilities>', 1), '^.*<probabilities>', '', 's') else c end")} block from y),
+ {loose('bj', 'select output_id, block from z', 'block')}, {loose('oj', 'select output_id, market_outcome from mo', 'market_outcome')},
+ br as (select output_id id, case when json_type(j->'probabilities') in ('OBJECT', 'ARRAY') then j->'probabilities' else j end j from bj where json_type(j) in ('OBJECT', 'ARRAY')),
+ {_by_market('p', 'br', 'j', "e.value->>'probability'", _DOLLAR)},
+ os as (select output_id id, j from oj where json_type(j) = 'OBJECT'), {_by_market('o', 'os', 'j', "null", _DOLLAR)},
+ whole as (select * from p where len(list_filter(vals, lambda v: v is null)) = 0),
+ named as (select o.id, o.vals o, list_transform(o.names, lambda n: coalesce(list_extract(w.vals, list_position(w.names, n)), 0)) p from o join whole w using (id)),
+ sc as (select id output_id, case when len(list_filter(o, lambda v: v is null or v not in (0, 1))) + len(list_filter(p, lambda v: v < 0 or v > 1)) = 0 then list_sum(list_transform(list_zip(p, o), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / len(o) end s from named)"""
+
+
+@query(f"{_OUTPUT_SCORES} select output_id, model, event_ticker, submission_id, round(s, 9) brier_score from mo left join sc using (output_id)")
 def score_model_outputs(spark, sf_dir):
     """Brier scores of model outputs, null where no probabilities can be read."""
-    rows = read(spark, sf_dir, "model_outputs").dropDuplicates(["output_id"])
-    return score_outputs(rows).select("output_id", "model", "event_ticker", "submission_id", six("brier_score"))
+    rows = _first(read(spark, sf_dir, "model_outputs"), "output_id")
+    return score_outputs(rows).select("output_id", "model", "event_ticker", "submission_id", nine("brier_score"))
+
+
+@query(f"{_OUTPUT_SCORES}, g as (select model, event_ticker, submission_id, s from mo join sc using (output_id) where s is not null and model is not null), e as (select model, event_ticker, avg(s) m from g group by all) select model, count(*) n, round(avg(s), 6) mean, round(median(s), 6) median, any_value(em) event_mean, any_value(ed) event_median from g join (select model, round(avg(m), 6) em, round(median(m), 6) ed from e group by model) using (model) group by model")
+def score_summary_by_model(spark, sf_dir):
+    """Summary of the scores of each model's outputs."""
+    rows = score_outputs(_first(read(spark, sf_dir, "model_outputs"), "output_id"))
+    return metrics.score_summary(rows, ["model"]).select("model", "n", six("mean"), six("median"), six("event_mean"), six("event_median"))
+
+
+_OUTCOME_LIST = f"case json_type(j) when 'ARRAY' then array_to_string(cast(j as varchar[]), ', ') when 'OBJECT' then array_to_string(json_keys(j), ', ') else '{text.NO_OUTCOME}' end"
+_TITLE_SQL = f"with {loose('i', 'select distinct event_ticker, title, rules, markets from event_info where title is not null', 'markets')}, u as (select *, concat('Title: ', title, chr(10), 'Rules: ', coalesce(rules, ''), chr(10), 'Outcomes: ', {_OUTCOME_LIST}, chr(10), chr(10), 'Write a title that can be understood without the rules and outcomes.') t from i)"
 
 
-@query("with i as (select distinct event_ticker, title from event_info) select event_ticker, md5(concat('Title: ', title, '\nOutcomes: ', 'A, B', '\n\nWrite a title that can be understood without the outcomes.')) prompt from i where title is not null")
+def _title_prompts(spark, sf_dir) -> DataFrame:
+    rows = read(spark, sf_dir, "event_info").filter("title is not null").select("event_ticker", "title", "rules", "markets").distinct()
+    return rows.withColumn("prompt", TITLE.column(raw=F.col("title"), rules=F.coalesce("rules", F.lit("")), outcome=text.market_list_text(F.coalesce("markets", F.lit("")))))
+
+
+@query(f"{_TITLE_SQL} select event_ticker, md5(t) prompt from u")
 def title_prompts(spark, sf_dir):
-    rows = read(spark, sf_dir, "event_info").filter("title is not null").select("event_ticker", "title").distinct()
-    return rows.select("event_ticker", F.md5(TITLE.column(title=F.col("title"), markets=F.lit("A, B"))).alias("prompt"))
+    return _title_prompts(spark, sf_dir).select("event_ticker", F.md5("prompt").alias("prompt"))
 
 
 @query("select event_ticker, substring(md5(concat(title, rules)), 1, 8) prompt_hash from (select distinct event_ticker, title, rules from event_info where title is not null and rules is not null)")
@@ -558,17 +745,23 @@ def _echo(system: str, user: str) -> dict:
     return {"source_analysis": user[:20], "market_analysis": user[20:40], "rationale": user[40:80]}
 
 
-@query()
+@query(f"{_TITLE_SQL} select event_ticker, title, regexp_replace(regexp_replace(trim('\"' || split_part(title, chr(10), 1) || '\"'), '^\\s*<event>\\s*|\\s*</event>\\s*$', '', 'g'), '^[\"'']+|[\"'']+$', '', 'g') augmented_title from u")
 def llm_title_augment(spark, sf_dir):
-    rows = read(spark, sf_dir, "event_info").filter("title is not null").select("event_ticker", "title").distinct()
-    asked = rows.withColumn("prompt", TITLE.column(title=F.col("title"), markets=F.lit("")))
-    answered = ask(asked, lambda system, user: f'"{user.splitlines()[0][7:]}"', TITLE.system)
+    answered = ask(_title_prompts(spark, sf_dir), lambda system, user: f'"{user.splitlines()[0][7:]}"', TITLE.system)
     return answered.select("event_ticker", "title", text.clean_title(F.col("answer")).alias("augmented_title"))
 
 
-@query()
+_REASON_SQL = f"""{_RL_SQL}, a as (select aug_id, submission_id, title, original_rationale from ({_first_sql('augmented_reasoning', 'aug_id', ['aug_id', 'submission_id', 'title', 'original_rationale'])})),
+ q as (select aug_id, 'Event: ' || coalesce(title, '') || chr(10) || chr(10) || 'Sources:' || chr(10) || coalesce(lines, '') || chr(10) || chr(10) || 'Market prices: ' || coalesce(prices, '{{}}') || chr(10) || chr(10) || 'Forecast: {{}}' || chr(10) || chr(10) || 'Reasoning so far: ' || original_rationale t from a left join st using (submission_id) left join mt using (submission_id))"""
+
+
+@query(f"{_REASON_SQL} select aug_id, case when length(t) % 17 > 0 then substr(t, 1, 20) end source_analysis, case when length(t) % 17 > 0 then substr(t, 21, 20) end market_analysis, case when length(t) % 17 > 0 then substr(t, 41, 40) end rationale, case when length(t) % 17 = 0 then 'parse_error' end error_type from q")
 def llm_reason_augment(spark, sf_dir):
-    rows = read(spark, sf_dir, "augmented_reasoning").dropDuplicates(["aug_id"]).select("aug_id", "title", "original_rationale")
-    asked = rows.withColumn("prompt", REASONING.column(event=F.col("title"), sources=F.lit(""), probabilities=F.lit("{}"), rationale=F.col("original_rationale")))
-    answered = ask(asked, _echo, REASONING.system, retries=0)
-    return answered.select("aug_id", F.from_json("answer", "struct<source_analysis: string, market_analysis: string, rationale: string>").alias("augmented_rationale"), "error_type")
+    """A model's answers to the reasoning prompts of event, sources and prices, and the errors of failed calls."""
+    rows = _first(read(spark, sf_dir, "augmented_reasoning").select("aug_id", "submission_id", "title", "original_rationale"), "aug_id")
+    details = _problems(spark, sf_dir).select("submission_id", text.sources_text(F.col("sources")).alias("sources"), F.to_json("market_data").alias("market_data"))
+    joined = rows.join(details, "submission_id", "left")
+    prompt = REASONING.column(event_info=F.concat(F.lit("Event: "), F.coalesce("title", F.lit(""))), sources=F.coalesce("sources", F.lit("")), market_data=F.coalesce("market_data", F.lit("{}")), vanilla_rationale=F.col("original_rationale"), llm_prediction=F.lit("{}"))
+    answered = ask(joined.withColumn("prompt", prompt), _echo, REASONING.system, retries=0)
+    whole = F.from_json("answer", "struct<source_analysis: string, market_analysis: string, rationale: string>")
+    return answered.select("aug_id", *(whole[f].alias(f) for f in _FIELDS), "error_type")

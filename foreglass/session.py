@@ -116,6 +116,13 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared folder, removed with the scope it was made in."""
+    path = f"{shared_folder(spark)}/folder-{uuid.uuid4().hex}"
+    _scopes[-1].append(path)
+    return path
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables of ``written`` that nothing reads any more."""
     for df in tables:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from foreglass.session import file_system
 from foreglass.sources import schemas
@@ -40,7 +40,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as one text."""
-    return spark.read.text(require(spark, path), wholetext=True).first()[0]
+    system, place = file_system(spark, require(spark, path))
+    stream = system.open(place)
+    try:
+        whole = spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
+        return whole.next() if whole.hasNext() else ""
+    finally:
+        stream.close()
 
 
 def require(spark: SparkSession, path: str) -> str:
@@ -57,7 +63,7 @@ def read_frame(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     if schema is None and exists(spark, f"{path}/{SCHEMA_FILE}"):
         own = StructType.fromJson(json.loads(read_text(spark, f"{path}/{SCHEMA_FILE}")))
         nested = {f.name: f.dataType for f in own if _is_nested(f.dataType.simpleString())}
-        flat = StructType([f if f.name not in nested else type(f)(f.name, "string") for f in own])
+        flat = StructType([f if f.name not in nested else StructField(f.name, StringType()) for f in own])
         rows = spark.read.schema(flat).options(**CSV).csv(path)
         return rows.withColumns({n: F.from_json(n, t) for n, t in nested.items()}) if nested else rows
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from foreglass.functions.text import probabilities_of, split_thinking, tagged_probabilities
+from foreglass.functions.text import plain_json, probabilities_of, read_outcome, split_thinking, tagged_probabilities
 from foreglass.operators.metrics import brier_of_maps
 
 
 def score_outputs(df: DataFrame) -> DataFrame:
-    """Adds ``prediction`` (market -> probability) and ``brier_score`` to rows with ``content`` and ``market_outcome``; both null if unreadable."""
+    """Adds ``prediction`` (market -> probability) and ``brier_score`` to rows with ``content`` and ``market_outcome``; both null if unreadable.
+
+    Probabilities and outcomes count in any notation that ``text.plain_json`` reads.
+    """
     _, content = split_thinking(F.col("content"))
-    predicted = probabilities_of(tagged_probabilities(content))
-    outcome = F.from_json("market_outcome", "map<string, double>")
-    return df.withColumn("prediction", predicted).withColumn("brier_score", brier_of_maps(F.col("prediction"), outcome))
+    read = df.withColumns({"__block": plain_json(tagged_probabilities(content)), "__outcome": read_outcome(F.col("market_outcome"))})
+    scored = read.withColumn("prediction", probabilities_of(F.col("__block")))
+    return scored.withColumn("brier_score", brier_of_maps(F.col("prediction"), F.col("__outcome"))).drop("__block", "__outcome")
 
 
 def stream_scores(spark: SparkSession, source: str, schema: StructType, sink: str, checkpoint: str):
