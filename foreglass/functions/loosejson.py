@@ -10,8 +10,6 @@ _FENCE = re.compile(r"\A\s*```[\w-]*\s*\n?(.*?)\n?\s*```\s*\Z", re.S)
 _TRAILING = re.compile(r"(\"(?:[^\"\\]|\\.)*\")|,(?=\s*[}\]])", re.S)
 _LITERALS = re.compile(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|\b(true|false|null)\b", re.S)
 _NAMES = {"true": "True", "false": "False", "null": "None"}
-#: A text may hold a text that holds JSON, and so on, so many times.
-MOST_LAYERS = 4
 
 
 def read(text: str | None) -> object | None:
@@ -22,9 +20,7 @@ def read(text: str | None) -> object | None:
     with ``None`` and ``True``. Numbers and names keep their values; nothing is
     repaired by guessing.
     """
-    for _ in range(MOST_LAYERS):
-        if not isinstance(text, str):
-            return text
+    while isinstance(text, str):  # a text within a text is always shorter
         text = _once(text)
         if not isinstance(text, str) or text.lstrip()[:1] not in ('{', '[', '"', '`', '﻿'):
             return text
