@@ -48,7 +48,7 @@ _LETTERS = {"ø": "o", "æ": "ae", "œ": "oe", "ß": "ss", "ł": "l", "đ": "d",
 _LETTER = re.compile("[" + "".join(_LETTERS) + "]")
 _MARKS = regex.compile(r"[\p{Mn}\p{Me}\p{Cf}]+")
 _INLINE = re.compile(r"</?(?:b|i|u|s|em|strong|span|a|sup|sub|mark|small|code|font|q|cite|abbr|wbr)(?:\s[^<>]*)?/?>", re.I)
-_TAG = re.compile(r"<!--.*?-->|</?[a-z!][^<>]{0,300}>", re.I | re.S)
+_TAG = re.compile(r"""<!--.*?-->|</?[a-z!](?:[^<>]{0,300}|[\w:-]*(?:\s+[\w:-]+\s*=\s*(?:"[^"<>]*"|'[^'<>]*'))+\s*/?)>""", re.I | re.S)
 _LINK = re.compile(r"\]\([^()\s]*\)")
 _FURNITURE = re.compile(r"^[^\S\n]*(?:[\[(]?\s*(?:continued|page|sheet|p\.)[^\n]{0,24}\d+\s*[\])]?|(?:user|assistant|system)\s*:|[-*•]|\d{1,3}[.)])(?=\s|$)", re.I | re.M)
 _SOFT = re.compile("\u00ad\\s*")

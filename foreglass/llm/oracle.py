@@ -10,6 +10,10 @@ _RECORDS = f"""records as (select distinct event_ticker, submission_id, lower({_
  supply as (select name, sum(least(n, 5)) available from (select name, event_ticker, count(*) n from records group by all) group by name),
  needs as (select category, target_share, min_rows, greatest(min_rows, cast(floor(target_share * sample_size + 0.5 + 1e-9) as bigint)) wanted, coalesce(available, 0) available from category_targets left join supply on lower(category) = name)"""
 
+_BOUND = f"""with recursive tickers as (select upper({_TRIM.format('event_ticker')}) e, regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g') s from predictions where event_ticker is not null),
+ kept as (select distinct e, s from tickers where e <> '' and regexp_matches(s, '[1-9a-f]')),
+ links as (select distinct a.e a, b.e b from kept a join kept b on a.s = b.s and a.e <> b.e),
+ reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)"""
 _QUOTAS = f"""{_RECORDS},
  scarce as (select category, name_of name, wanted / available scarcity from (select *, lower(category) name_of from needs) where available > 0),
  one as (select event_ticker, submission_id, category, scarcity from records join scarce using (name) qualify row_number() over (partition by event_ticker, submission_id order by scarcity desc, category desc) = 1),
@@ -24,11 +28,8 @@ ORACLE = {
     "p1_found": f"with {_RECORDS} select category from needs where available < wanted",
     "p1_report": f"""with {_QUOTAS}
  select category, target_share, min_rows, wanted, available, greatest(0, wanted - available) short, coalesce(drawn, 0) drawn, coalesce(drawn, 0) / (select sum(drawn) from quotas) drawn_share, target_share - coalesce(drawn, 0) / (select sum(drawn) from quotas) gap from needs left join quotas using (category)""",
-    "p2_found": f"""with recursive pairs as (select distinct upper({_TRIM.format('event_ticker')}) e, regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g') s from predictions where event_ticker is not null and submission_id is not null),
- kept as (select * from pairs where e <> '' and regexp_matches(s, '[1-9a-f]')),
- links as (select distinct a.e a, b.e b from kept a join kept b on a.s = b.s and a.e <> b.e),
- reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
- select distinct a event_ticker_a, b event_ticker_b from reach where a < b""",
+    "p2_found": f"{_BOUND} select distinct a event_ticker_a, b event_ticker_b from reach where a < b",
+    "p2_members": f"{_BOUND}, t as (select distinct e from tickers where e <> ''), c as (select a, min(b) least, count(*) n from reach group by a) select e event_ticker, coalesce(least, e) class, coalesce(n, 1) n_bound from t left join c on e = a",
     "p4_found": f"""with {_SCORED},
  ranked as (select *, row_number() over (partition by submission_id order by brier_score, forecaster, score_id) rn from scored)
  select submission_id, score_id from ranked where rn <= 3""",

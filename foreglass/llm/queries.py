@@ -12,7 +12,7 @@ from foreglass.llm.language import Languages, labelled_sample
 from foreglass.llm.leaks import leaks
 from foreglass.llm.pieces import pieces
 from foreglass.llm.raking import RakedSample
-from foreglass.llm.splits import bound_labels, bound_pairs, plain_hex, plain_ticker, split_together
+from foreglass.llm.splits import bound_labels, bound_pairs, members, plain_hex, plain_ticker, split_together
 from foreglass.llm.tokens import encode
 from foreglass.llm.topn import top_n
 from foreglass.llm.truncation import truncated, truncation_rates
@@ -53,6 +53,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound_pairs(roots).select(F.col("a").alias("event_ticker_a"), F.col("b").alias("event_ticker_b"))
 
 
+def p2_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ticker with the smallest one it is bound to, and how many are bound together."""
+    rows = read(spark, sf_dir, "predictions").select(plain_ticker(F.col("event_ticker")).alias("hub"), plain_hex(F.col("submission_id")).alias("spoke"))
+    roots, _ = bound_labels(rows, "hub", "spoke")
+    found = members(roots)
+    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("n_bound"))
+    tickers = rows.select(F.col("hub").alias("vertex")).filter("vertex is not null").distinct()
+    out = tickers.join(found.join(sizes, "root"), "vertex", "left")
+    return out.select(F.col("vertex").alias("event_ticker"), F.coalesce("root", "vertex").alias("class"), F.coalesce("n_bound", F.lit(1)).cast("long").alias("n_bound"))
+
+
 def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split of each prediction."""
     shares = [(r.split_name, r.share) for r in read(spark, sf_dir, "split_shares").collect()]  # some rows of configuration
@@ -135,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_margins": p1_margins,
     "p1_sample": p1_sample,
     "p2_found": p2_found,
+    "p2_members": p2_members,
     "p2_splits": p2_splits,
     "p3_found": p3_found,
     "p3_rates": p3_rates,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foreglass.plans.prefix import running_total
 from foreglass.plans.skew import skewed_left_join
-from foreglass.session import written
+from foreglass.session import discard, written
 
 
 def plain_ticker(ticker: Column) -> Column:
@@ -54,20 +54,26 @@ def contract(edges: DataFrame) -> list[DataFrame]:
         both = edges.select("u", "v").union(edges.select("v", "u"))
         chosen = both.filter(_tails("u", turn) & ~_tails("v", turn)).groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("parent"))
         maps.append(written(chosen))
-        edges = written(_relabel(edges, maps[-1]))
+        left, edges = edges, written(_relabel(edges, maps[-1]))
+        discard(left)
     return maps
 
 
 def unwind(maps: list[DataFrame]) -> DataFrame | None:
-    """``(vertex, root)`` of every vertex that collapsed, from the last round back to the first."""
+    """``(vertex, root)`` of every vertex that collapsed, from the last round back to the first.
+
+    Each round writes the labels of its own vertices only; it looks their
+    parents up among those of all later rounds, which are fewer and fewer.
+    """
     labels = None
     for collapsed in reversed(maps):
         if labels is None:
             labels = collapsed.select("vertex", F.col("parent").alias("root"))
             continue
         up = labels.select(F.col("vertex").alias("parent"), "root")
-        own = collapsed.join(up, "parent", "left").select("vertex", F.coalesce("root", "parent").alias("root"))
-        labels = written(own.union(labels))  # else the plan doubles in every round
+        own = written(collapsed.join(up, "parent", "left").select("vertex", F.coalesce("root", "parent").alias("root")))
+        discard(collapsed)
+        labels = own.union(labels)
     return labels
 
 
@@ -97,6 +103,16 @@ def bound_labels(rows: DataFrame, hub: str, spoke: str) -> tuple[DataFrame, Data
     return roots, spokes
 
 
+def members(roots: DataFrame) -> DataFrame:
+    """``(vertex, root)`` with the smallest vertex of each component as its root, roots included: the classes, one row for each vertex.
+
+    A vertex bound to no other is in no row.
+    """
+    every = roots.union(roots.select(F.col("root").alias("vertex"), "root").distinct())
+    least = every.groupBy("root").agg(F.min("vertex").alias("least"))
+    return every.join(least, "root").select("vertex", F.col("least").alias("root"))
+
+
 def bound_pairs(roots: DataFrame) -> DataFrame:
     """``(a, b)``, a < b: all pairs of vertices that ``(vertex, root)`` puts into one component."""
     members = roots.union(roots.select(F.col("root").alias("vertex"), "root").distinct())
