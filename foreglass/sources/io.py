@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from fnmatch import fnmatch
 from functools import reduce
 from pathlib import Path
 
@@ -72,11 +73,17 @@ def read_frame(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.options(**CSV).csv(path)
 
 
-def read_jdbc(spark: SparkSession, url: str | None, table: str, **options: str) -> DataFrame:
-    """A database table, partitioned if ``partitionColumn`` and its bounds are given; filters and columns are pushed down."""
+def read_jdbc(spark: SparkSession, url: str | None, table: str | None = None, query: str | None = None, **options: str) -> DataFrame:
+    """A database table or the result of the caller's own SQL; filters and columns are pushed down.
+
+    A table is read by several tasks if ``partitionColumn`` and its bounds are given.
+    """
     if not url:
         raise ValueError("a database URL or file paths are needed")
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    if (table is None) == (query is None):
+        raise ValueError("either a table or a query")
+    source = {"dbtable": table} if query is None else {"query": query}
+    return spark.read.format("jdbc").options(url=url, **source, **options).load()
 
 
 def read_directory(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
@@ -104,9 +111,17 @@ def read_dataset(spark: SparkSession, path: str, needed: Iterable[str] = ("messa
 
 
 def read_scores(spark: SparkSession, directory: str, pattern: str = "*brier_score.csv") -> DataFrame:
-    """All score files below a directory, with the ``file`` each row came from."""
-    rows = spark.read.schema(schemas.SCORED_OUTPUTS).options(**CSV).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).csv(require(spark, directory))
-    return rows.withColumn("file", F.col("_metadata.file_path"))
+    """All score files below a directory, or tables of that name, with the ``file`` each row came from."""
+    system, place = file_system(spark, require(spark, directory))
+    files, found = system.listFiles(place, True), []
+    while files.hasNext():
+        path = files.next().getPath()
+        if fnmatch(path.getName(), pattern) or (path.getName().startswith("part-") and fnmatch(path.getParent().getName(), pattern)):
+            found.append(path.toString())
+    if not found:
+        raise FileNotFoundError(f"{directory}/**/{pattern}")
+    rows = spark.read.schema(schemas.SCORED_OUTPUTS).options(**CSV).csv(found)
+    return rows.withColumn("file", F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", ""))
 
 
 def read_yaml(path: str) -> dict:
@@ -148,6 +163,17 @@ def write_dataset(df: DataFrame, path: str) -> str:
     return write_frame(df, path, partition=["split"])
 
 
+def write_scores(df: DataFrame, folder: str, name: str) -> str:
+    """Scored rows as the table ``<name>_brier_score.csv``, which ``read_scores`` finds."""
+    return write_frame(df.select(*(F.col(f.name) for f in StructType.fromDDL(schemas.SCORED_OUTPUTS))), f"{folder}/{name}_brier_score.csv", "csv")
+
+
+def write_summary(df: DataFrame, path: str) -> str:
+    """A summary, some rows, as one JSON array of records."""
+    write_text(df.sparkSession, path, "[" + ",\n ".join(df.toJSON().collect()) + "]")
+    return path
+
+
 def append_batch(df: DataFrame, path: str, batch: int) -> str:
     """One batch of results; writing a batch again replaces it."""
     return write_frame(df, f"{path}/batch_id={batch}")

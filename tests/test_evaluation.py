@@ -161,3 +161,24 @@ def test_blocks_keep_the_best_rows_with_all_columns(spark):
     assert sorted((r.g, r.i, r.extra) for r in kept) == [("g", 0, "x0"), ("g", 7, "x7"), ("g", 14, "x14"), ("h", 200, None)]
     most = selection.limit_problems(df.withColumn("row_id", F.col("i")), "row_id", 10, shuffle=False)
     assert sorted(r.i for r in most.collect()) == list(range(10)) and selection.head(df, 3).count() == 3
+
+
+def test_score_files_and_their_summary(spark, tmp_path):
+    rows = spark.createDataFrame([("e", "s", 0.5, "x"), ("e", "t", 0.1, "x"), ("f", "u", None, "x")], "event_ticker string, submission_id string, brier_score double, more string")
+    for name in ("a", "b"):
+        io.write_scores(rows, str(tmp_path), name)
+    again = io.read_scores(spark, str(tmp_path))
+    assert again.count() == 6 and {r.file.rsplit("/", 1)[-1] for r in again.collect()} == {"a_brier_score.csv", "b_brier_score.csv"}
+    io.write_summary(metrics.score_summary(again, ["file"]), str(tmp_path / "summary.json"))
+    records = json.loads(io.read_text(spark, str(tmp_path / "summary.json")))
+    assert [(r["n"], round(r["mean"], 9), round(r["median"], 9), r["n_events"]) for r in records] == [(2, 0.3, 0.3, 1)] * 2
+    with pytest.raises(FileNotFoundError):
+        io.read_scores(spark, str(tmp_path), "*none.csv")
+
+
+def test_a_database_needs_a_table_or_a_query(spark):
+    for table, query in ((None, None), ("t", "select 1")):
+        with pytest.raises(ValueError, match="either"):
+            io.read_jdbc(spark, "jdbc:x", table, query)
+    with pytest.raises(ValueError, match="URL"):
+        io.read_jdbc(spark, None, "t")
