@@ -45,7 +45,7 @@ FORECASTS_SQL = """
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``brier_scores`` once for each delivered row, missing and impossible scores as null."""
-    rows = read(spark, sf_dir, "brier_scores").dropDuplicates(["score_id"])
+    rows = read(spark, sf_dir, "brier_scores").distinct()
     value = not_nan(F.col("brier_score"))
     return rows.withColumn("brier_score", F.when(value.between(0, 1), value)).withColumnRenamed("score_id", "row_id")
 
