@@ -214,6 +214,21 @@ def test_what_a_category_lacks_is_drawn_from_the_others():
     assert sum(repaired_quotas(targets, {"a": 10, "b": 20, "c": 5}, 100).values()) == 35
 
 
+def test_quotas_against_every_slot():
+    rng = random.Random(9)
+    for _ in range(300):
+        targets = [{"name": f"c{i}", "share": rng.choice([0.0, 0.1, 0.25, round(rng.random(), 2)]), "min_rows": rng.choice([0, 0, 3, 20])} for i in range(rng.randrange(1, 6))]
+        have, size = {t["name"]: rng.choice([0, 5, 40, 200]) for t in targets}, rng.choice([0, 1, 10, 50, 150, 900])
+        slots = []
+        for t in targets:
+            n, least = t["name"], min(have[t["name"]], t["min_rows"])
+            slots += [(0.0 if j <= least else (j - 0.5) / t["share"], n, j) for j in range(1, have[n] + 1) if j <= least or t["share"] > 0]
+        counts = Counter(n for _, n, _ in sorted(slots)[:size])
+        assert repaired_quotas(targets, have, size) == {t["name"]: counts[t["name"]] for t in targets}
+    big = repaired_quotas([{"name": "a", "share": 0.5, "min_rows": 0}, {"name": "b", "share": 0.5, "min_rows": 0}], {"a": 10**12, "b": 10**12}, 10**9)
+    assert big == {"a": 5 * 10**8, "b": 5 * 10**8}
+
+
 def test_more_cells_than_the_driver_holds_are_fitted_alike(spark):
     rows = [(f"e{k}", f"s{k}", "ab"[k % 3 % 2], (k * k) % 5) for k in range(300)]
     df = spark.createDataFrame(rows, "event string, record string, category string, round int")
