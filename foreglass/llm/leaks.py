@@ -147,19 +147,30 @@ def _passages(words: np.ndarray) -> np.ndarray:
     return np.pad(words, (0, -len(words) % PASSAGE)).reshape(-1, PASSAGE)
 
 
+def _batch_passages(lists: pa.ListArray) -> np.ndarray:
+    """The passages of all documents of a batch, each document's last one filled up with 0."""
+    offsets = lists.offsets.to_numpy()
+    words = lists.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+    sizes = np.diff(offsets)
+    begins = np.concatenate([[0], np.cumsum(-(-sizes // PASSAGE) * PASSAGE)])
+    out = np.zeros(begins[-1], words.dtype)
+    out[np.arange(len(words)) + np.repeat(begins[:-1] - (offsets[:-1] - offsets[0]), sizes)] = words
+    return out.reshape(-1, PASSAGE)
+
+
 def term_statistics(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """Passages of the corpus that hold each term, and the number of passages, over all documents."""
+    """Passages of the corpus that hold each item term, and the number of passages, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size, np.int64)
         total = 0
         for batch in batches:
-            for row in batch.column("words"):
-                p = np.sort(_passages(row.values.to_numpy(zero_copy_only=False)), axis=1)
-                first = np.ones(p.shape, bool)
-                first[:, 1:] = p[:, 1:] != p[:, :-1]
-                held += np.bincount(p[first], minlength=size)
-                total += len(p)
+            p = _batch_passages(batch.column("words"))
+            total += len(p)
+            p = np.sort(p[(p > 0).any(axis=1)], axis=1)
+            first = np.ones(p.shape, bool)
+            first[:, 1:] = p[:, 1:] != p[:, :-1]
+            held += np.bincount(p[first], minlength=size)
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(held[some], total), pa.int64())], names=["term", "n"])
 
@@ -193,13 +204,12 @@ def corpus_matrix(texts: DataFrame, idf, size: int) -> np.ndarray:
         weights = idf.value
         out, held, n = np.zeros(size * size), [], 0
         for batch in batches:
-            for row in batch.column("words"):
-                p = _passages(row.values.to_numpy(zero_copy_only=False))
-                held.append(p[(p > 0).any(axis=1)])
-                n += len(held[-1])
-                if n > 50_000:
-                    out += _normal_matrix(np.concatenate(held), weights, size)
-                    held, n = [], 0
+            p = _batch_passages(batch.column("words"))
+            held.append(p[(p > 0).any(axis=1)])
+            n += len(held[-1])
+            if n > 50_000:
+                out += _normal_matrix(np.concatenate(held), weights, size)
+                held, n = [], 0
         if n:
             out += _normal_matrix(np.concatenate(held), weights, size)
         some = np.flatnonzero(out)
