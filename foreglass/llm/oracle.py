@@ -30,6 +30,16 @@ ORACLE = {
  select category, target_share, min_rows, wanted, available, greatest(0, wanted - available) short, coalesce(drawn, 0) drawn, coalesce(drawn, 0) / (select sum(drawn) from quotas) drawn_share, target_share - coalesce(drawn, 0) / (select sum(drawn) from quotas) gap from needs left join quotas using (category)""",
     "p2_found": f"{_BOUND} select distinct a event_ticker_a, b event_ticker_b from reach where a < b",
     "p2_members": f"{_BOUND}, t as (select distinct e from tickers where e <> ''), c as (select a, min(b) least, count(*) n from reach group by a) select e event_ticker, coalesce(least, e) class, coalesce(n, 1) n_bound from t left join c on e = a",
+    "p2_splits": f"""{_BOUND}, cls as (select a, min(b) root from reach group by a),
+ allrows as (select prediction_id id, nullif(upper({_TRIM.format('event_ticker')}), '') hub, case when regexp_matches(regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g'), '[1-9a-f]') then regexp_replace(lower(submission_id), '[^0-9a-f]', '', 'g') end spoke from predictions where prediction_id is not null),
+ one as (select id, hub, spoke from allrows qualify row_number() over (partition by id order by hub nulls first, spoke nulls first) = 1),
+ mates as (select spoke, min(hub) mate from allrows where hub is not null and spoke is not null group by 1),
+ named as (select id, coalesce(h.root, hub, m.root, mate, 'spoke ' || one.spoke, 'row ' || id) component from one left join cls h on h.a = hub left join mates on mates.spoke = one.spoke left join cls m on m.a = mate),
+ sizes as (select component, count(*) w from named group by 1),
+ run as (select component, sum(w) over (order by w desc, md5('42|' || component), component rows between unbounded preceding and current row) - w before from sizes),
+ edges as (select split_name, sum(share) over (order by share desc, split_name rows between unbounded preceding and current row) / (select sum(share) from split_shares) edge from split_shares),
+ put as (select component, coalesce((select arg_min(split_name, edge) from edges where before < (select count(*) from named) * edge), (select arg_max(split_name, edge) from edges)) split_name from run)
+ select id prediction_id, component, split_name from named join put using (component)""",
     "p4_found": f"""with {_SCORED},
  ranked as (select *, row_number() over (partition by submission_id order by brier_score, forecaster, score_id) rn from scored)
  select submission_id, score_id from ranked where rn <= 3""",

@@ -125,20 +125,23 @@ def split_together(rows: DataFrame, identifier: str, hub: Column, spoke: Column,
 
     Components go to the splits from the largest to the smallest by the
     weight before them, so each split misses its share by less than the
-    component at its border, there a small one. A row without hub and spoke is
+    component at its border, there a small one; equal weights in seeded order.
+    A component is named by its smallest hub. A row without hub and spoke is
     a component of its own; an identifier counts once, under its smallest hub
     and spoke; a null identifier comes out nowhere. ``shares`` are rescaled to
     sum to 1.
     """
     rows = rows.select(F.col(identifier).alias("id"), hub.alias("hub"), spoke.alias("spoke")).filter("id is not null")
-    hubs, spokes = bound_labels(rows, "hub", "spoke")
+    roots, spokes = bound_labels(rows, "hub", "spoke")
+    hubs = written(members(roots))
+    spokes = spokes.join(hubs.select(F.col("vertex").alias("__vertex"), F.col("root").alias("__least")), F.col("root") == F.col("__vertex"), "left").select("spoke", F.coalesce("__least", "root").alias("root"))
     one = rows.groupBy("id").agg(F.min(F.struct("hub", "spoke")).alias("row")).select("id", "row.hub", "row.spoke")
     named = skewed_left_join(one, hubs.select(F.col("vertex").alias("hub"), F.col("root").alias("hub_root")), "hub", ["id"])
     named = skewed_left_join(named, spokes.select("spoke", F.col("root").alias("spoke_root")), "spoke", ["id"])
     own = F.concat(F.lit("row "), F.col("id").cast("string"))
     alone = F.concat(F.lit("spoke "), F.col("spoke"))
     named = written(named.select("id", F.coalesce("hub_root", "hub", "spoke_root", alone, own).alias("component")))
-    sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("weight")).withColumn("down", -F.col("weight")).withColumn("draw", F.xxhash64(F.lit(seed), "component"))
+    sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("weight")).withColumn("down", -F.col("weight")).withColumn("draw", F.md5(F.concat_ws("|", F.lit(str(seed)), "component")))
     ordered = running_total(sizes, ["down", "draw", "component"], "weight")
     total = F.broadcast(sizes.agg(F.sum("weight").alias("total")))
     whole, edge, split = sum(s for _, s in shares), 0.0, None
