@@ -23,6 +23,8 @@ ARRAY_ROWS = 50_000
 SPREAD = (-4.0, -1.0, -0.25, 0.0, 0.25, 1.0, 4.0)
 #: Percentiles of the expected place over the arrays, for open parts of a few scores each.
 PERCENTILES = (0.02, 0.1, 0.3, 0.7, 0.9, 0.98)
+#: An open range of so many scores is settled by making all of them pivots.
+FEW = 64
 
 
 def sorted_arrays(df: DataFrame, source: str, score: str, identifier: str, rows: int = ARRAY_ROWS) -> DataFrame:
@@ -77,7 +79,8 @@ def _proposals(open_arrays: DataFrame) -> DataFrame:
     Each array proposes the ends of its open part and the scores around the
     expected place in it. A source's pivots are the medians of these over its
     arrays and further percentiles of the expected place: sketches of fixed
-    size, combined before the shuffle, that return proposed scores.
+    size, combined before the shuffle, that return proposed scores. Of an open
+    range that was narrowed to ``FEW`` scores all are pivots.
     """
     slots = [f"s{i}" for i in range(len(SPREAD) + 2)]
 
@@ -89,14 +92,19 @@ def _proposals(open_arrays: DataFrame) -> DataFrame:
             places = [np.zeros_like(width), width - 1] + [np.clip(np.rint(share * width + s * deviation).astype(np.int64) - 1, 0, width - 1) for s in SPREAD]
             use = np.flatnonzero(width > 0)
             columns = [pa.array(values[(first + begin + place)[use]]) for place in places]
-            yield pa.RecordBatch.from_arrays([batch.column("source").take(pa.array(use)), *columns], names=["source", *slots])
+            narrowed = batch.column("low").is_valid().to_numpy(zero_copy_only=False) | batch.column("high").is_valid().to_numpy(zero_copy_only=False)
+            sizes = np.where(narrowed & (batch.column("open").to_numpy() <= FEW), width, 0)[use]
+            ends = np.cumsum(sizes)
+            few = values[np.repeat((first + begin)[use] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(few))
+            yield pa.RecordBatch.from_arrays([batch.column("source").take(pa.array(use)), *columns, lists], names=["source", *slots, "few"])
 
     kind = open_arrays.schema["source"].dataType.simpleString()
-    picked = open_arrays.mapInArrow(propose, f"source {kind}, " + ", ".join(f"{s} double" for s in slots))
+    picked = open_arrays.mapInArrow(propose, f"source {kind}, " + ", ".join(f"{s} double" for s in slots) + ", few array<double>")
     middle = slots[2 + SPREAD.index(0.0)]
     medians = F.array(*(F.percentile_approx(s, 0.5, 1000) for s in slots))
     around = F.percentile_approx(middle, list(PERCENTILES), 1000)
-    return picked.groupBy("source").agg(F.array_distinct(F.concat(medians, around)).alias("pivots"))
+    return picked.groupBy("source").agg(F.array_distinct(F.concat(medians, around, F.flatten(F.collect_list("few")))).alias("pivots"))
 
 
 def _values(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
