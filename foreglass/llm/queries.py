@@ -27,8 +27,8 @@ def _raked(spark: SparkSession, sf_dir: str) -> RakedSample:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Categories that have fewer records than their target asks for."""
-    return _raked(spark, sf_dir).shortfalls().filter("short > 0").select("category")
+    """Categories whose target the raked, drawn and repaired sample misses for want of records."""
+    return _raked(spark, sf_dir).unmet().select("category")
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:

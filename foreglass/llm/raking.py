@@ -64,9 +64,10 @@ def rake_table(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = RO
     for _ in range(rounds):
         table = fitted
         for margin, shares in targets.items():
-            now = table.groupBy(margin).agg(F.sum(F.col("n") * F.col("weight")).alias("now")).join(shares, margin)
+            now = table.groupBy(margin).agg(F.sum(F.col("n") * F.col("weight")).alias("now")).filter("now > 0").join(shares, margin)
             whole = F.broadcast(now.agg(F.sum("share").alias("whole")))
-            factor = now.crossJoin(total).crossJoin(whole).select(margin, (F.col("share") / F.col("whole") * F.col("total") / F.col("now")).alias("factor"))
+            wanted = F.when(F.col("whole") > 0, F.try_divide(F.col("share"), F.col("whole"))).otherwise(F.lit(0.0))
+            factor = now.crossJoin(total).crossJoin(whole).select(margin, (wanted * F.col("total") / F.col("now")).alias("factor"))
             change = f"change_{margin}"
             table = table.join(factor, margin, "left").withColumn("factor", F.coalesce("factor", F.lit(1.0))).withColumn("weight", F.col("weight") * F.col("factor")).withColumn(change, F.abs(F.col("factor") - 1)).drop("factor")
         new = written(table)
@@ -210,6 +211,15 @@ class RakedSample:
         drawn = self.rows.groupBy("category").agg(F.count(F.lit(1)).alias("drawn"))
         return self._gaps(self.shortfalls().join(F.broadcast(drawn), "category", "left"))
 
+    def unmet(self) -> DataFrame:
+        """The rows of the report whose target the draw missed and no record is left to repair.
+
+        A category draws no more than it has in the pool, and there no more
+        than its supply, so a want of records always shows in the draw; a gap
+        without one (rounding, or minimums of others) is no want.
+        """
+        return self.report().filter((F.col("drawn") < F.col("wanted")) & (F.col("available") < F.col("wanted")))
+
     def margin_report(self) -> DataFrame:
         """``(margin, available, target_share, drawn, drawn_share, gap)`` of the second margin; its target is its share of the pool."""
         pool = self.cells.groupBy("margin").agg(F.sum("n").alias("available"))
